@@ -6,6 +6,8 @@ All of it is row-wise arithmetic, grouping by word, or pages of at most twenty r
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,10 @@ from feedback_lens.operators.bow import bow
 from feedback_lens.operators.lexicon import explode_tokens
 from feedback_lens.operators.segments import polarity, with_quarter
 from feedback_lens.schema import TOPIC_SEGMENT
-from feedback_lens.session import ensure_checkpoint_dir
+from feedback_lens.session import ensure_checkpoint_dir, spread
+from feedback_lens.sources import stage
+
+Build = Callable[[SparkSession, str], DataFrame]
 
 YEARS = [2016]
 STOPWORDS = (
@@ -29,7 +34,7 @@ PER_PAGE, PRODUCTS = 20, 9
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf}/{name}.parquet"))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -38,6 +43,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/tables/{name}_{uuid.uuid4().hex}"
 
 
+def stored(name: str) -> Callable[[Build], Build]:
+    """Lexical tables and vectors are inputs a user has on disk, so they are built once per session and read back."""
+
+    def wrap(build: Build) -> Build:
+        @wraps(build)
+        def read(spark: SparkSession, sf: str) -> DataFrame:
+            ensure_checkpoint_dir(spark)
+            path = f"{spark.sparkContext.getCheckpointDir()}/inputs/{name}"
+            return stage(spark, lambda: build(spark, sf), path, {"tables": sf})
+
+        return read
+
+    return wrap
+
+
 def reviews(spark: SparkSession, sf: str) -> DataFrame:
     i = F.col("doc_id")
     return table(spark, sf, "documents").select(
@@ -67,6 +87,7 @@ def tokens(spark: SparkSession, sf: str) -> DataFrame:
     return explode_tokens(token_docs(spark, sf))
 
 
+@stored("lexicon")
 def lexicon(spark: SparkSession, sf: str) -> DataFrame:
     w = F.col("w")
     words = tokens(spark, sf).select("w").distinct()
@@ -99,10 +120,12 @@ def synonyms(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(SYNONYMS), "word string, synonym string")
 
 
+@stored("word_counts")
 def word_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokens(spark, sf).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
 
 
+@stored("word_vectors")
 def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Words seen at least twice, mapped onto the embeddings by arithmetic on count and spelling."""
     vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
@@ -114,6 +137,7 @@ def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return words.withColumn("vec_id", vec_id).join(vectors, "vec_id").select(w.alias("word"), F.col("embedding").alias("vec"))
 
 
+@stored("ngram_vectors")
 def ngram_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Vectors of three-letter pieces of known words, mapped onto the embeddings by spelling."""
     vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
@@ -168,7 +192,7 @@ def _html(pattern: str, **values: Column) -> Column:
 def _paged(rows: DataFrame, head: Column, tail: Column) -> DataFrame:
     """Pages of twenty blocks per product."""
     product, number = F.col("review_id") % PRODUCTS, F.floor(F.col("review_id") / (PRODUCTS * PER_PAGE))
-    blocks = F.transform(F.array_sort(F.collect_list(F.struct("review_id", "block"))), lambda s: s["block"])
+    blocks = F.transform(F.sort_array(F.collect_list(F.struct("review_id", "block"))), lambda s: s["block"])
     grouped = rows.groupBy(product.alias("product"), number.alias("page_no")).agg(blocks.alias("blocks"))
     return grouped.select(
         (F.col("product") + PRODUCTS * F.col("page_no")).alias("page_id"),

@@ -120,19 +120,19 @@ def analysed_hypotheses(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "H4 H7 A9",
-    sql("report_base best_scores hyp_analysed", """SELECT b.review_id, h.hypothesis, round(coalesce(s.similarity, 0), 6) AS similarity FROM report_base b
+    sql("report_base best_scores hyp_analysed", """SELECT b.review_id, h.hypothesis, coalesce(s.similarity, 0) AS similarity FROM report_base b
     CROSS JOIN hyp_analysed h LEFT JOIN best_scores s ON s.review_id = b.review_id AND s.hypothesis = h.hypothesis"""),
 )
 def best_pair_scores(spark: SparkSession, sf: str) -> DataFrame:
     scored = scored_reviews(
         _base(spark, sf), _phrases(spark, sf), fx.HYPOTHESES, fx.lexicon(spark, sf), fx.word_vectors(spark, sf), 0.0
     )
-    return scored.select("review_id", "hypothesis", F.round("similarity", 6).alias("similarity"))
+    return scored.select("review_id", "hypothesis", "similarity")
 
 
-@query("H6 P9", sql("scored", "SELECT review_id, hypothesis, round(similarity, 6) AS similarity FROM scored"))
+@query("H6 P9", sql("scored", "SELECT review_id, hypothesis, similarity FROM scored"))
 def biased_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return _scored(spark, sf).select("review_id", "hypothesis", F.round("similarity", 6).alias("similarity"))
+    return _scored(spark, sf).select("review_id", "hypothesis", "similarity")
 
 
 @query("A2", sql("shares", "SELECT hypothesis, year_quarter, brand, round(overall_score, 6) AS overall_score FROM shares"))
@@ -141,26 +141,26 @@ def share_above_threshold(spark: SparkSession, sf: str) -> DataFrame:
     return shares.withColumn("overall_score", F.round("overall_score", 6))
 
 
-@query("W1", sql("best_reviews", "SELECT hypothesis, year_quarter, brand, rank, review_id, round(similarity, 6) AS similarity FROM best_reviews"))
+@query("W1", sql("best_reviews", "SELECT hypothesis, year_quarter, brand, rank, review_id, similarity FROM best_reviews"))
 def top_five_reviews(spark: SparkSession, sf: str) -> DataFrame:
     return sm.top_reviews(_scored(spark, sf), KEYS).select(
-        *KEYS, "rank", "review_id", F.round("similarity", 6).alias("similarity")
+        *KEYS, "rank", "review_id", "similarity"
     )
 
 
-@query("O1", sql("scored", "SELECT hypothesis, review_id, round(similarity, 6) AS similarity FROM scored ORDER BY similarity DESC, review_id"))
+@query("O1", sql("scored", "SELECT hypothesis, review_id, similarity FROM scored ORDER BY similarity DESC, review_id"))
 def ranked_scores(spark: SparkSession, sf: str) -> DataFrame:
     scored = _scored(spark, sf).orderBy(F.desc("similarity"), "review_id")
-    return scored.select("hypothesis", "review_id", F.round("similarity", 6).alias("similarity"))
+    return scored.select("hypothesis", "review_id", "similarity")
 
 
 REPORT = """SELECT b.hypothesis, b.year_quarter, {company} AS company, b.brand, r.name, b.rating, r.source, r.comment,
-    round(b.similarity, 6) AS similarity, round(s.overall_score, 6) AS overall_score, b.review_id, b.rank
+    b.similarity, round(s.overall_score, 6) AS overall_score, b.review_id, b.rank
     FROM best_reviews b JOIN shares s USING (hypothesis, year_quarter, brand) JOIN reviews r ON r.review_id = b.review_id"""
 
 
 def _report(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in ("similarity", "overall_score")})
+    return df.withColumn("overall_score", F.round("overall_score", 6))
 
 
 @query(

@@ -145,8 +145,8 @@ view(
          lambda i: substr(w, 1, i - 1) || substr(w, i + 1)), w))) AS k FROM dictionary),
        m AS (SELECT w, unnest(list_distinct(list_append(list_transform(range(1, length(w) + 1),
          lambda i: substr(w, 1, i - 1) || substr(w, i + 1)), w))) AS k FROM misspelt)
-       SELECT m.w, arg_min(d.w, (levenshtein(m.w, d.w), -d.n, d.w)) AS corrected FROM m JOIN d USING (k)
-       WHERE levenshtein(m.w, d.w) <= 1 GROUP BY m.w""",
+       SELECT m.w, arg_min(d.w, (levenshtein(translate(m.w, 'ß', '0'), translate(d.w, 'ß', '0')), -d.n, d.w)) AS corrected FROM m JOIN d USING (k)
+       WHERE levenshtein(translate(m.w, 'ß', '0'), translate(d.w, 'ß', '0')) <= 1 GROUP BY m.w""",
     "dictionary misspelt",
 )
 

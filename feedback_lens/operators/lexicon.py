@@ -27,7 +27,7 @@ def explode_tokens(df: DataFrame, tokens: str = "tokens", keep: Sequence[str] =
 
 def gather_tokens(long: DataFrame, keep: Sequence[str] = ("review_id",), word: str = "w") -> DataFrame:
     """Back to one ordered array per review; a group is one review."""
-    ordered = F.array_sort(F.collect_list(F.struct("pos", F.col(word).alias("w"))))
+    ordered = F.sort_array(F.collect_list(F.struct("pos", F.col(word).alias("w"))))
     return long.groupBy(*keep).agg(F.transform(ordered, lambda s: s["w"]).alias("tokens"))
 
 

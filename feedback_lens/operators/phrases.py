@@ -24,7 +24,7 @@ _OPEN, _CLOSE = "\u0001", "\u0002"
 
 def gather_tagged(tagged: DataFrame, id_col: str = "review_id", word: str = "lemma") -> DataFrame:
     """``words`` and ``tags`` per review, in order; a group is one review."""
-    ordered = F.array_sort(F.collect_list(F.struct("pos", F.col(word).alias("word"), "tag")))
+    ordered = F.sort_array(F.collect_list(F.struct("pos", F.col(word).alias("word"), "tag")))
     return (
         tagged.groupBy(id_col)
         .agg(ordered.alias("t"))

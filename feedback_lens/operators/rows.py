@@ -94,7 +94,7 @@ def topic_rows(
 
 def wide_topics(keywords: DataFrame, keys: Sequence[str], topics: Sequence[int]) -> DataFrame:
     """One row per key and one column per topic holding its keywords in order."""
-    listed = F.array_sort(F.collect_list(F.struct("rank", "keyword")))
+    listed = F.sort_array(F.collect_list(F.struct("rank", "keyword")))
     text = F.array_join(F.transform(listed, lambda s: s["keyword"]), ", ")
     wide = keywords.groupBy(*keys).pivot("topic", list(topics)).agg(text)
     return wide.select(*keys, *[F.col(f"`{t}`").alias(f"topic_{t}") for t in topics])

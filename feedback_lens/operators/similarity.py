@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedback_lens.functions.tokens import split_punctuation, tokenize_similarity
-from feedback_lens.functions.vectors import cosine, mean_of
+from feedback_lens.functions.vectors import dot, length_of_sum, mean_of, norm
 from feedback_lens.operators.lexicon import explode_tokens, tag_tokens
 from feedback_lens.operators.phrases import PHRASE_TYPES, gather_tagged, with_phrases
 
@@ -35,10 +35,19 @@ def subword_vectors(words: DataFrame, ngrams: DataFrame, min_n: int = 3, max_n:
     )
     rows = words.select("word").distinct().select("word", F.posexplode(grams).alias("pos", "ngram"))
     known = rows.join(ngrams.select("ngram", "vec"), "ngram")
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "vec"))), lambda s: s["vec"])
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("pos", "vec"))), lambda s: s["vec"])
     return known.groupBy("word").agg(mean_of(ordered).alias("vec"))
 
 
+def word_vectors(words: DataFrame, vectors: DataFrame, ngrams: DataFrame | None = None) -> DataFrame:
+    """Vectors of the distinct words given; with ``ngrams`` also of words the table lacks."""
+    known = attach_vectors(words, vectors)
+    if ngrams is None:
+        return known
+    unknown = words.select("word").distinct().join(vectors.select("word"), "word", "left_anti")
+    return known.unionByName(subword_vectors(unknown, ngrams))
+
+
 def phrase_vectors(phrases: DataFrame, vectors: DataFrame, ngrams: DataFrame | None = None) -> DataFrame:
     """``(phrase, vec)``: mean vector of the known words, once per distinct phrase.
 
@@ -46,12 +55,10 @@ def phrase_vectors(phrases: DataFrame, vectors: DataFrame, ngrams: DataFrame | N
     """
     distinct = phrases.select("phrase").distinct()
     words = distinct.select("phrase", F.posexplode(F.split("phrase", " ")).alias("pos", "word"))
-    known = words.join(vectors.select("word", "vec"), "word")
-    if ngrams is not None:
-        unknown = words.join(vectors.select("word"), "word", "left_anti")
-        known = known.unionByName(unknown.join(subword_vectors(unknown, ngrams), "word"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "vec"))), lambda s: s["vec"])
-    return known.groupBy("phrase").agg(mean_of(ordered).alias("vec"))
+    parts = words.join(word_vectors(words, vectors, ngrams), "word").groupBy("phrase").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "vec"))).alias("parts")
+    )
+    return parts.select("phrase", mean_of(F.col("parts.vec")).alias("vec"))
 
 
 def tag_text(df: DataFrame, text: str, lexicon: DataFrame, id_col: str = "review_id") -> DataFrame:
@@ -100,20 +107,43 @@ def phrase_scores(
 ) -> DataFrame:
     """``(phrase_type, phrase, hypothesis, score)``: best cosine against the hypothesis phrases.
 
-    Works on distinct phrases, so a phrase shared by a third of all reviews is scored once.
+    Works on distinct phrases, so a phrase shared by a third of all reviews is scored once. The product with a
+    hypothesis is taken per distinct word and added up per phrase, so only the length needs the phrase vector.
     """
     theirs = hypotheses.select("hypothesis", "phrase_type", F.explode("phrases").alias("phrase"))
-    their_vectors = phrase_vectors(theirs, vectors, ngrams)
-    theirs = theirs.join(their_vectors, "phrase").groupBy("phrase_type").agg(
-        F.collect_list(F.struct("hypothesis", F.col("vec").alias("h"))).alias("against")
+    their_vectors = phrase_vectors(theirs, vectors, ngrams).withColumn("length", norm(F.col("vec")))
+    target = F.struct("phrase_type", "hypothesis", "phrase", F.col("vec").alias("h"), "length")
+    # What the user asked for, as one row for every word.
+    targets = (
+        theirs.join(their_vectors.filter("length > 0"), "phrase")
+        .agg(F.sort_array(F.collect_list(target)).alias("targets"))
+        .withColumn("one", F.lit(1))
     )
     wanted = distinct_phrases.join(F.broadcast(hypotheses.select("phrase_type").distinct()), "phrase_type", "left_semi")
-    ours = wanted.join(phrase_vectors(wanted, vectors, ngrams), "phrase")
-    pairs = ours.join(F.broadcast(theirs), "phrase_type").select(
-        "phrase_type", "phrase", "vec", F.explode("against").alias("a")
+    kinds = wanted.groupBy("phrase").agg(F.collect_set("phrase_type").alias("kinds"))
+    words = kinds.select("phrase", "kinds", F.posexplode(F.split("phrase", " ")).alias("pos", "word"))
+    needed = word_vectors(words, vectors, ngrams).withColumn("one", F.lit(1)).join(F.broadcast(targets), "one")
+    needed = needed.select("word", "vec", F.transform("targets", lambda t: dot(F.col("vec"), t["h"])).alias("dots"))
+    parts = words.join(needed, "word").groupBy("phrase").agg(
+        F.first("kinds").alias("kinds"), F.sort_array(F.collect_list(F.struct("pos", "vec", "dots"))).alias("parts")
+    )
+    measured = parts.withColumn("one", F.lit(1)).join(F.broadcast(targets), "one").select(
+        "phrase",
+        "kinds",
+        "targets",
+        length_of_sum(F.col("parts.vec")).alias("length"),
+        F.transform("targets", lambda t, j: F.aggregate("parts", F.lit(0.0), lambda s, p: s + F.get(p["dots"], j))).alias("dots"),
+    )
+    rows = measured.select(
+        "phrase", "kinds", F.col("length").alias("own"), F.explode(F.arrays_zip("targets", "dots")).alias("z")
+    )
+    matched = rows.filter(F.array_contains("kinds", F.col("z.targets.phrase_type")) & (F.col("own") > 0))
+    cosine = F.col("z.dots") / (F.col("own") * F.col("z.targets.length"))
+    return (
+        matched.select("z.targets.phrase_type", "phrase", "z.targets.hypothesis", cosine.alias("score"))
+        .groupBy("phrase_type", "phrase", "hypothesis")
+        .agg(F.max("score").alias("score"))
     )
-    scored = pairs.select("phrase_type", "phrase", "a.hypothesis", cosine(F.col("vec"), F.col("a.h")).alias("score"))
-    return scored.groupBy("phrase_type", "phrase", "hypothesis").agg(F.max("score").alias("score"))
 
 
 def max_similarity(

@@ -38,3 +38,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the plan restarts from files, so a lost executor costs one read."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than cores one split per core; larger scans are left as they are.
+
+    Only the plan is looked at. A corpus of many files has more splits than cores and gets no shuffle here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedback_lens.schema import LEXICON, PAGE, REVIEW, VECTOR
+from feedback_lens.session import spread
 
 
 def _scan(spark: SparkSession, path: str | Sequence[str], fmt: str, schema: T.StructType) -> DataFrame:
@@ -16,7 +17,7 @@ def _scan(spark: SparkSession, path: str | Sequence[str], fmt: str, schema: T.St
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
-    return reader.format(fmt).load(paths)
+    return spread(reader.format(fmt).load(paths))
 
 
 def read_reviews(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> DataFrame:

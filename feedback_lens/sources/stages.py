@@ -33,7 +33,7 @@ def stage(
         try:
             return spark.read.parquet(target)
         except AnalysisException:
-            pass
+            pass  # not built yet, or never finished: a finished write always leaves a readable schema
     writer = build().write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
