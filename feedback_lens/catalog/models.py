@@ -251,7 +251,7 @@ def kmeans_report(spark: SparkSession, sf: str) -> DataFrame:
 @query("M12 M13 M8")
 def fixed_lda_report(spark: SparkSession, sf: str) -> DataFrame:
     """Topics for two to five topics per brand and polarity, with the coherence of each model."""
-    return tp.fixed_lda_table(_legacy(spark, sf))
+    return tp.fixed_lda_table(_legacy(spark, sf), passes=10)
 
 
 @query("M14")

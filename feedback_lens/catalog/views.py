@@ -164,7 +164,7 @@ view(
 )
 view(
     "topic_term",
-    f"""SELECT {SEG}, CAST(review_id % 3 + 1 AS INT) AS topic, w AS term, CAST(count(*) AS DOUBLE) AS weight
+    f"""SELECT {SEG}, CAST((review_id // 15) % 3 + 1 AS INT) AS topic, w AS term, CAST(count(*) AS DOUBLE) AS weight
        FROM seg_tokens GROUP BY ALL""",
     "seg_tokens",
 )

@@ -97,4 +97,4 @@ def wide_topics(keywords: DataFrame, keys: Sequence[str], topics: Sequence[int])
     listed = F.sort_array(F.collect_list(F.struct("rank", "keyword")))
     text = F.array_join(F.transform(listed, lambda s: s["keyword"]), ", ")
     wide = keywords.groupBy(*keys).pivot("topic", list(topics)).agg(text)
-    return wide.select(*keys, *[F.col(f"`{t}`").alias(f"topic_{t}") for t in topics])
+    return wide.select(*keys, *[F.nullif(F.col(f"`{t}`"), F.lit("")).alias(f"topic_{t}") for t in topics])

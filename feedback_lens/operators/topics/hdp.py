@@ -128,7 +128,7 @@ def fit_hdp(
             F.array_repeat(rate, topics).alias("rho"),
             F.array_repeat(F.lit(0.0), topics).alias("eta"),
         )
-        state = cut_lineage(blend(state, sweep(docs, state, step), rates, seg))
+        state = cut_lineage(blend(state, sweep(docs, state, step, summed=False), docs.per_segment(rates), seg))
     return docs, state
 
 

@@ -46,4 +46,4 @@ def spread(df: DataFrame) -> DataFrame:
     Only the plan is looked at. A corpus of many files has more splits than cores and gets no shuffle here.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
