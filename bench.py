@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from pyspark.sql import SparkSession
@@ -45,6 +46,7 @@ def main() -> None:
         start = time.time()
         all_queries()[name](spark, sf).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.time() - start, 3)
+        print(name, seconds[name], file=sys.stderr, flush=True)
     total = round(sum(seconds.values()), 3)
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": sf}))
     spark.stop()

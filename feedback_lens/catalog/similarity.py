@@ -18,6 +18,7 @@ from feedback_lens.plans.similarity import (
     similarity_table,
 )
 from feedback_lens.schema import REPORT_SEGMENT
+from feedback_lens.session import cut_lineage
 
 KEYS = ["hypothesis", *REPORT_SEGMENT]
 
@@ -31,7 +32,7 @@ def _phrases(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _hypotheses(spark: SparkSession, sf: str) -> DataFrame:
-    return sm.analyze_hypothesis(spark, fx.HYPOTHESES, fx.lexicon(spark, sf))
+    return cut_lineage(sm.analyze_hypothesis(spark, fx.HYPOTHESES, fx.lexicon(spark, sf)))
 
 
 def best_scores(spark: SparkSession, sf: str) -> DataFrame:

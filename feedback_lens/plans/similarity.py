@@ -20,6 +20,7 @@ from feedback_lens.operators.similarity import (
     top_reviews,
 )
 from feedback_lens.schema import REPORT_SEGMENT
+from feedback_lens.session import cut_lineage
 
 # Defaults of the original report.
 THRESHOLD, BIAS, TOP, MIN_REVIEWS = 0.6, -0.2, 5, 10
@@ -70,7 +71,8 @@ def scored_reviews(
     """
     if len(hypotheses) > MAX_BROADCAST_HYPOTHESES:
         raise ValueError(f"at most {MAX_BROADCAST_HYPOTHESES} hypotheses per job; split the list")
-    analysed = analyze_hypothesis(base.sparkSession, hypotheses, lexicon)
+    # A few rows that the plan needs in four places; as a small table they keep it short.
+    analysed = cut_lineage(analyze_hypothesis(base.sparkSession, hypotheses, lexicon))
     best = max_similarity(phrases, analysed, vectors, ngrams)
     asked = F.explode(F.array(*[F.lit(h) for h in dict.fromkeys(hypotheses)]))
     rows = base.select("review_id", "rating", *REPORT_SEGMENT, asked.alias("hypothesis"))
