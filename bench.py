@@ -21,7 +21,6 @@ HEADLINE = (
     "similarity_report",
     "coherence_by_windows",
     "topic_result_rows",
-    "lda_grid",
 )
 
 
