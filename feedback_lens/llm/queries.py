@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedback_lens.llm import packing, pieces
-from feedback_lens.llm.common import table
+from feedback_lens.llm import language, packing, pieces, toxicity
+from feedback_lens.llm.common import held_out, table
+
+#: A document is taken as toxic from this probability on.
+TOXIC_FROM = 0.7
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,14 +21,32 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    part = held_out(5, 0)
+    predict = language.predict_column(spark, language.learn(docs.where(~part)))
+    return docs.select("doc_id", part.alias("held_out"), predict("text").alias("p")).select("doc_id", "held_out", "p.*")
+
+
+def op4_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    part = held_out(3, 1)
+    score = toxicity.score_column(spark, toxicity.fit(docs.where(~part), table(spark, sf_dir, "labels").where(~part)))
+    scored = docs.select("doc_id", part.alias("held_out"), score("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
 def op5_offset_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = pieces.digest_column(spark, public_tokenizers.path("piece_bpe_32k.model"))
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", digest("text").alias("d")).select("doc_id", "d.*")
 
 
+OPERATORS = (op1_best_fit_packing, op2_hyperdimensional_language, op4_toxic_segments, op5_offset_encoding)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op5_offset_encoding)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
