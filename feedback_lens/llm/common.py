@@ -83,6 +83,30 @@ def mix(values: np.ndarray) -> np.ndarray:
         return z ^ (z >> np.uint64(31))
 
 
+class Remembered:
+    """Values of strings, made in batches and remembered in two generations: what is asked for again outlives a full table."""
+
+    limit, longest = 250_000, 64
+
+    def __init__(self, make: Callable[[list[str]], list]) -> None:
+        self.make, self.fresh, self.old = make, {}, {}
+
+    def __call__(self, keys: list[str]) -> list:
+        try:
+            return list(map(self.fresh.__getitem__, keys))
+        except KeyError:
+            pass
+        found = {key: self.fresh.get(key) for key in set(keys)}
+        missing = [key for key, value in found.items() if value is None]
+        found.update((key, self.old.get(key)) for key in missing)
+        new = [key for key in missing if found[key] is None]
+        found.update(zip(new, self.make(new), strict=True))
+        if len(self.fresh) + len(missing) > self.limit:
+            self.old, self.fresh = self.fresh, {}
+        self.fresh.update((key, found[key]) for key in missing if len(key) <= self.longest)
+        return list(map(found.__getitem__, keys))
+
+
 class WordHashes(dict):
     """Word (bytes) to a 64-bit hash, remembered up to a number of entries."""
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
 from collections.abc import Callable
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedback_lens.llm.common import arrow_map, store
+from feedback_lens.llm.common import Remembered, arrow_map, store
 
 ROWS_PER_SALT = 2048
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -30,16 +31,23 @@ class ChunkEncoder:
     """Token ids of texts by the ``tokenizers`` library, remembered for each run of characters between white space.
 
     A tokenizer whose pre-tokenizer drops white space never merges across it, so the ids of a text are the ids of its runs in order.
+    Runs of plain letters with plain punctuation behind are known to be lower-cased and split there, so their word goes straight to the
+    library's model; every other run takes the library's whole path.
     """
 
-    limit, longest = 400_000, 64
+    plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        visible = set(ByteLevel.alphabet())
+        hidden = iter(range(256, 512))
+        self.letters = {b: chr(b) if chr(b) in visible else chr(next(hidden)) for b in range(256)}  # the library's byte alphabet
+        self.runs, self.words = Remembered(self._code_runs), Remembered(self._code_words)
+        self.tails: dict[str, bytes] = {}
 
     @staticmethod
     def of(path: str) -> ChunkEncoder:
@@ -49,19 +57,28 @@ class ChunkEncoder:
 
     def __call__(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        runs = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, runs))
-        except KeyError:
-            pass
-        new = [run for run in set(runs) if run not in self.known]
-        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        ids = {run: b"".join(i.to_bytes(4, "little") for i in c.ids) for run, c in zip(new, coded, strict=True)}
-        lookup = {run: self.known.get(run) for run in set(runs)} | ids
-        if len(self.known) + len(ids) > self.limit:
-            self.known = {"": b""}
-        self.known.update((run, value) for run, value in ids.items() if len(run) <= self.longest)
-        return b"".join(map(lookup.__getitem__, runs))
+        return b"".join(self.runs(text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
+
+    def _whole(self, runs: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
+        return [b"".join(i.to_bytes(4, "little") for i in c.ids) for c in coded]
+
+    def _code_words(self, words: list[str]) -> list[bytes]:
+        tokenize, letters = self.tokenizer.model.tokenize, self.letters
+        rows = (tokenize(word.encode().decode("latin-1").translate(letters)) for word in words)
+        return [b"".join(token.id.to_bytes(4, "little") for token in row) for row in rows]
+
+    def _code_runs(self, runs: list[str]) -> list[bytes]:
+        out, matches = dict.fromkeys(runs, b""), {run: m for run in runs if (m := self.plain.fullmatch(run))}
+        other = [run for run in runs if run and run not in matches]
+        out.update(zip(other, self._whole(other), strict=True))
+        for tail in {m[2] for m in matches.values()} - self.tails.keys():
+            self.tails[tail] = self._whole([tail])[0]
+        words = self.words([m[1].lower() for m in matches.values()])
+        out.update((run, word + self.tails[m[2]]) for (run, m), word in zip(matches.items(), words, strict=True))
+        if len(self.tails) > 10_000:
+            self.tails.clear()
+        return list(out.values())
 
 
 def token_pieces(

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 
-from feedback_lens.llm.common import arrow_column
+from feedback_lens.llm.common import Remembered, arrow_column
 
 MARK = "▁"
 MARK_BYTES = MARK.encode()
@@ -132,8 +132,6 @@ class Normaliser:
 class Codec:
     """Encoder and decoder of one model file."""
 
-    limit, longest = 250_000, 64
-
     def __init__(self, path: str) -> None:
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
@@ -156,7 +154,7 @@ class Codec:
         own = "\n" if not any("\n" in name for name in names) else ""
         #: Parts that no piece crosses: marks with what follows, and characters that no piece has.
         self.parts = re.compile(".+" if crossing else f"{MARK}*[^{MARK}{own}]+|{MARK}+|\n", re.S)
-        self.known: dict[str, tuple[bytes, str, bytes]] = {}
+        self.known = Remembered(self._code)
 
     @staticmethod
     def of(path: str) -> Codec:
@@ -164,23 +162,13 @@ class Codec:
             _CODECS[path] = Codec(path)
         return _CODECS[path]
 
-    def _coded(self, normalised: str) -> list[tuple[bytes, str, bytes]]:
+    def _code(self, parts: list[str]) -> list[tuple[bytes, str, bytes]]:
         """For each part: its ids as 32-bit numbers, as decimal text, and their surface."""
-        parts = self.parts.findall(normalised)
-        try:
-            return list(map(self.known.__getitem__, parts))
-        except KeyError:
-            pass
-        distinct = set(parts)
-        new = [part for part in distinct if part not in self.known]
-        coded = {}
-        for part, ids in zip(new, self.merger.encode(new, num_threads=1), strict=True):
-            coded[part] = (np.array(ids, "<u4").tobytes(), ",".join(map(str, ids)), b"".join(map(self.surfaces.__getitem__, ids)))
-        lookup = {part: self.known.get(part) for part in distinct} | coded
-        if len(self.known) + len(coded) > self.limit:
-            self.known = {}
-        self.known.update((part, value) for part, value in coded.items() if len(part) <= self.longest)
-        return list(map(lookup.__getitem__, parts))
+        rows = self.merger.encode(parts, num_threads=1)
+        return [(np.array(ids, "<u4").tobytes(), ",".join(map(str, ids)), b"".join(map(self.surfaces.__getitem__, ids))) for ids in rows]
+
+    def _coded(self, normalised: str) -> list[tuple[bytes, str, bytes]]:
+        return self.known(self.parts.findall(normalised))
 
     def spans(self, ids: np.ndarray, source: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and end byte of every piece in the original text."""
