@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_lens.llm import chat, fingerprints, language, packing, pieces, toxicity
+from feedback_lens.llm import chat, fingerprints, language, minhash, packing, pieces, toxicity
 from feedback_lens.llm.common import held_out, table
 
 #: A document is taken as toxic from this probability on.
@@ -49,6 +49,10 @@ def op6_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(conversations.unionByName(more)))
 
 
+def op8_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op10_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ OPERATORS = (
     op4_toxic_segments,
     op5_offset_encoding,
     op6_chat_round_trip,
+    op8_minhash_near_duplicates,
     op10_simhash_fingerprints,
 )
 
