@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import re
-import zlib
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,10 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from feedback_lens.session import cut_lineage
+from feedback_lens.session import cut_lineage, ensure_checkpoint_dir
 
 BATCH_BYTES = 8 << 20
-SPACES = re.compile(rb"[\x20\x09-\x0d]+")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,11 +62,6 @@ def hash_share(column: str, share: float) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(1 << 20)) < int(share * (1 << 20) + 0.5)
 
 
-def texts_of(values: pa.Array) -> list[str]:
-    """Python strings; null is the empty text."""
-    return [text or "" for text in values.to_pylist()]
-
-
 def ascii_words(text: str | None) -> list[bytes]:
     """Words between ASCII white space, A-Z in lower case, as UTF-8."""
     return text.encode().lower().split() if text else []
@@ -146,10 +139,66 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     return total
 
 
-def checksum(data: bytes) -> int:
-    return zlib.crc32(data)
-
-
 def store(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     return cut_lineage(df)
+
+
+def saved_table(df: DataFrame) -> DataFrame:
+    """``df`` written to and read from the shared folder; for wide tables, as Parquet is smaller there than a checkpoint."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, with their counts."""
+    values = np.sort(values)
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.empty(0, np.int64)
+    return values[starts], np.diff(np.append(starts, len(values)))
+
+
+def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their counts."""
+    if not keys:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    every, amounts = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every, amounts = every[order], amounts[order]
+    starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.empty(0, np.int64)
+    return every[starts], np.add.reduceat(amounts, starts) if len(starts) else amounts
+
+
+class Lookup:
+    """Values by 64-bit keys for whole arrays: open addressing, one vector step per probe."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.bits = max(4, int(5 * len(keys) // 2).bit_length())
+        size = 1 << self.bits
+        self.keys, self.used, self.values = np.zeros(size, np.uint64), np.zeros(size, bool), np.full(size, np.nan)
+        places, waiting = self._first(keys), np.arange(len(keys))
+        while len(waiting):
+            spots = places[waiting]
+            free = np.flatnonzero(~self.used[spots])
+            taken, first = np.unique(spots[free], return_index=True)
+            chosen = waiting[free[first]]
+            self.used[taken], self.keys[taken], self.values[taken] = True, keys[chosen], values[chosen]
+            waiting = np.setdiff1d(waiting, chosen, assume_unique=True)
+            places[waiting] = (places[waiting] + 1) & (size - 1)
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """Values of ``keys``; not a number for a key that is not there."""
+        places = self._first(keys)
+        out = self.values[places]
+        wrong = np.flatnonzero((self.keys[places] != keys) & self.used[places])
+        while len(wrong):
+            places[wrong] = (places[wrong] + 1) & (len(self.keys) - 1)
+            out[wrong] = self.values[places[wrong]]
+            wrong = wrong[(self.keys[places[wrong]] != keys[wrong]) & self.used[places[wrong]]]
+        return out

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_lens.llm import chat, fingerprints, language, minhash, packing, pieces, toxicity
+from feedback_lens.llm import chat, fingerprints, language, minhash, packing, pieces, ppm, toxicity
 from feedback_lens.llm.common import held_out, table
 
 #: A document is taken as toxic from this probability on.
@@ -53,6 +53,10 @@ def op8_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op9_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_documents(table(spark, sf_dir, "documents"), held_out(7, 2))
+
+
 def op10_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ OPERATORS = (
     op5_offset_encoding,
     op6_chat_round_trip,
     op8_minhash_near_duplicates,
+    op9_partial_matching,
     op10_simhash_fingerprints,
 )
 
