@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_lens.llm import chat, fingerprints, language, minhash, packing, pieces, ppm, toxicity
+from feedback_lens.llm import chat, fingerprints, language, minhash, packing, pieces, ppm, repeats, toxicity
 from feedback_lens.llm.common import held_out, table
 
 #: A document is taken as toxic from this probability on.
@@ -28,6 +28,10 @@ def op2_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame
     return docs.select("doc_id", part.alias("held_out"), predict("text").alias("p")).select("doc_id", "held_out", "p.*")
 
 
+def op3_suffix_array_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op4_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     part = held_out(3, 1)
@@ -64,6 +68,7 @@ def op10_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 OPERATORS = (
     op1_best_fit_packing,
     op2_hyperdimensional_language,
+    op3_suffix_array_repeats,
     op4_toxic_segments,
     op5_offset_encoding,
     op6_chat_round_trip,
