@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_lens.llm import chat, fingerprints, language, minhash, packing, pieces, ppm, repeats, toxicity
+from feedback_lens.llm import chat, fingerprints, language, minhash, packing, pieces, pivots, ppm, repeats, toxicity
 from feedback_lens.llm.common import held_out, table
 
 #: A document is taken as toxic from this probability on.
@@ -53,6 +53,10 @@ def op6_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(conversations.unionByName(more)))
 
 
+def op7_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op8_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
@@ -72,6 +76,7 @@ OPERATORS = (
     op4_toxic_segments,
     op5_offset_encoding,
     op6_chat_round_trip,
+    op7_pivot_permutations,
     op8_minhash_near_duplicates,
     op9_partial_matching,
     op10_simhash_fingerprints,
