@@ -17,6 +17,7 @@ from feedback_lens.operators.topics.engine import chunk_docs
 from feedback_lens.plans import topics as tp
 from feedback_lens.plans.prepare import clean_legacy, cv_tokens, prepare, raw_words
 from feedback_lens.schema import TOPIC_SEGMENT
+from feedback_lens.session import cut_lineage
 
 NORMALISED = f"keyword_weight / sum(keyword_weight) OVER (PARTITION BY {SEG}, topic)"
 
@@ -213,9 +214,9 @@ def _legacy(spark: SparkSession, sf: str) -> DataFrame:
 @query("M1 M4")
 def lda_shares(spark: SparkSession, sf: str) -> DataFrame:
     """Topic shares of every review under a three-topic model per segment."""
-    counts = count_vectors(cv_tokens(_prepared(spark, sf)), stop=fx.stopwords(spark))
-    docs, state = lda.fit_lda(counts, 3)
-    return lda.infer_topics(docs, state)
+    prepared = cut_lineage(_prepared(spark, sf))
+    docs, state = lda.fit_lda(count_vectors(cv_tokens(prepared), stop=fx.stopwords(spark)), 3)
+    return tp.complete_shares(lda.infer_topics(docs, state), prepared)
 
 
 @query("M2 M3")

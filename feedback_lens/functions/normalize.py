@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 # Accepted date layouts, tried in order.
 DATE_FORMATS = ("yyyy-MM-dd", "MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "d MMM yyyy", "M/d/yyyy")
 
-# Named HTML entities and their text; '&amp;' goes last so that it is not expanded twice.
+# Named HTML entities whose text is set here; the other names come from the HTML standard.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
 
@@ -39,11 +40,14 @@ def parse_date(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
 
 
 def parse_relative_date(col: Column, as_of: Column) -> Column:
-    """``"2 months ago"`` counted back from ``as_of`` (the crawl date)."""
-    amount = F.regexp_extract(col, r"([0-9]+) (year|month|week|day)s? ago", 1).try_cast("int")
-    unit = F.regexp_extract(col, r"([0-9]+) (year|month|week|day)s? ago", 2)
+    """``"2 months ago"`` counted back from ``as_of`` (the crawl date); units below a day count whole days only."""
+    pattern = r"([0-9]+) (year|month|week|day|hour|minute|second)s? ago"
+    amount = F.regexp_extract(col, pattern, 1).try_cast("int")
+    unit = F.regexp_extract(col, pattern, 2)
     months = F.when(unit == "year", amount * 12).when(unit == "month", amount)
     days = F.when(unit == "week", amount * 7).when(unit == "day", amount)
+    for name, per_day in (("hour", 24), ("minute", 24 * 60), ("second", 24 * 3600)):
+        days = days.when(unit == name, F.floor(amount / per_day).cast("int"))
     return F.coalesce(F.add_months(as_of, -months), F.date_sub(as_of, days))
 
 
@@ -75,12 +79,29 @@ def brand_from_name(col: Column) -> Column:
     return F.trim(F.split(col, "-")[0])
 
 
+def decode_entities(col: Column) -> Column:
+    """Named and numeric character references, each decoded once; what is none stays as it is."""
+    names = {name: chr(point) for name, point in name2codepoint.items()} | {entity[1:-1]: plain for entity, plain in ENTITIES}
+    texts = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    pieces = F.split(col, "&", -1)
+
+    def decode(piece: Column) -> Column:
+        decimal = F.regexp_extract(piece, "^#([0-9]{1,7});", 1).try_cast("int")
+        hexadecimal = F.conv(F.nullif(F.regexp_extract(piece, "^#[xX]([0-9a-fA-F]{1,6});", 1), F.lit("")), 16, 10).try_cast("int")
+        point = F.coalesce(decimal, hexadecimal)
+        valid = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, point).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        name = F.nullif(F.regexp_extract(piece, "^(#39|[A-Za-z][A-Za-z0-9]*);", 1), F.lit(""))
+        text = F.coalesce(F.try_element_at(texts, name), F.when(point.isNotNull(), char))
+        return F.coalesce(F.concat(text, F.regexp_replace(piece, "^[^;]*;", "")), F.concat(F.lit("&"), piece))
+
+    rest = F.transform(F.slice(pieces, 2, F.size(pieces)), decode)
+    return F.when(F.contains(col, F.lit("&")), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(col)
+
+
 def strip_tags(col: Column) -> Column:
     """Text of an element: tags out, entities decoded."""
-    text = F.regexp_replace(col, "<[^>]*>", "")
-    for entity, plain in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(plain))
-    return text
+    return decode_entities(F.regexp_replace(col, "<[^>]*>", ""))
 
 
 def with_source(df: DataFrame, name: str) -> DataFrame:

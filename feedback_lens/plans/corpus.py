@@ -16,7 +16,6 @@ from feedback_lens.functions.normalize import (
     parse_rating,
     parse_relative_date,
     parse_usefulness,
-    strip_tags,
     with_source,
 )
 from feedback_lens.operators.pages import attach_brand, extract_attrs, extract_blocks, extract_zipped, valid_rows
@@ -93,7 +92,7 @@ def _typed(df: DataFrame, profile: ShopProfile, as_of: Column | None) -> DataFra
         date = F.coalesce(date, parse_relative_date(F.col("date_text"), as_of))
     typed = df.withColumns(
         {
-            "name": clean_name(strip_tags(F.col("name")), drop_commas=profile.name == "Walmart"),
+            "name": clean_name(F.col("name"), drop_commas=profile.name == "Walmart"),
             "rating": parse_rating(F.col("rating_text"), profile.name),
             "comment": compose_comment(title, F.col("body"), profile.name),
             "date": date,

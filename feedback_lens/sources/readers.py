@@ -39,14 +39,18 @@ def read_lexicon(
 def read_vectors(spark: SparkSession, path: str | Sequence[str], dim: int, fmt: str = "parquet") -> DataFrame:
     """Word vectors ``(word, vec)`` of one width; ``fmt="text"`` reads ``word v1 … vn`` lines.
 
-    Lines of another width, such as the count header of a text file, are dropped.
+    The count header of a text file (two fields) is skipped; any other row of another width fails the job.
     """
     if fmt != "text":
-        return _scan(spark, path, fmt, VECTOR).filter(F.size("vec") == dim)
+        wrong = F.concat(F.lit(f"a vector is not {dim} wide: "), F.col("word"))
+        rows = _scan(spark, path, fmt, VECTOR)
+        return rows.withColumn("vec", F.when(F.size("vec") == dim, F.col("vec")).otherwise(F.raise_error(wrong)))
     paths = [path] if isinstance(path, str) else list(path)
     parts = F.split(F.rtrim(F.col("value")), " ")
-    rows = spark.read.text(paths).select(parts.alias("parts")).filter(F.size("parts") == dim + 1)
+    rows = spark.read.text(paths).select(parts.alias("parts")).filter((F.size("parts") != 2) | F.lit(dim == 1))
+    wrong = F.concat(F.lit(f"a vector is not {dim} wide: "), F.get("parts", F.lit(0)))
+    vec = F.transform(F.slice("parts", 2, dim), lambda x: x.cast("float"))
     return rows.select(
         F.get("parts", F.lit(0)).alias("word"),
-        F.transform(F.slice("parts", 2, dim), lambda x: x.cast("float")).alias("vec"),
+        F.when(F.size("parts") == dim + 1, vec).otherwise(F.raise_error(wrong)).alias("vec"),
     )

@@ -7,7 +7,6 @@ import json
 from collections.abc import Callable, Mapping
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -16,6 +15,12 @@ def stage_path(path: str, key: Mapping[str, Any]) -> str:
     return f"{path.rstrip('/')}/stage={digest}"
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` ended: its committer leaves a mark only then."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def stage(
     spark: SparkSession,
     build: Callable[[], DataFrame],
@@ -29,11 +34,8 @@ def stage(
     The folder name hashes the parameters, so a changed parameter never reads an old stage.
     """
     target = stage_path(path, key)
-    if not reprocess:
-        try:
-            return spark.read.parquet(target)
-        except AnalysisException:
-            pass  # not built yet, or never finished: a finished write always leaves a readable schema
+    if not reprocess and finished(spark, target):
+        return spark.read.parquet(target)
     writer = build().write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

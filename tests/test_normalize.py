@@ -32,6 +32,18 @@ def test_dates(spark):
     assert one(spark, "1 month ago", lambda c: nz.parse_relative_date(c, as_of)) == dt.date(2018, 11, 30)
 
 
+def test_dates_below_a_day(spark):
+    as_of = F.lit("2018-12-31").cast("date")
+    for text, day in (("3 hours ago", 31), ("1 minute ago", 31), ("50 hours ago", 29), ("10 seconds ago", 31), ("2 days ago", 29)):
+        assert one(spark, text, lambda c: nz.parse_relative_date(c, as_of)) == dt.date(2018, 12, day)
+
+
+def test_entities(spark):
+    text = "&#8217;&#x27;&eacute;&amp;lt;&lt;&bogus;&#0;&#x1F600; a & b &nbsp;;"
+    assert one(spark, text, nz.strip_tags) == "’'é&lt;<&bogus;\ufffd😀 a & b  ;"
+    assert one(spark, None, nz.strip_tags) is None and one(spark, "&", nz.strip_tags) == "&"
+
+
 def test_text_fields(spark):
     assert one(spark, "<b>a &amp; b</b>", nz.strip_tags) == "a & b"
     assert one(spark, "Acme - Brewer", nz.brand_from_name) == "Acme"
