@@ -18,6 +18,11 @@ from feedback_lens.plans.prepare import clean_legacy, cv_tokens, prepare, raw_wo
 from feedback_lens.schema import TOPIC_SEGMENT
 
 
+def _every(rows: str, docs: str = "token_docs") -> str:
+    """All reviews of ``docs`` with their joined tokens out of ``rows``."""
+    return f"SELECT review_id, coalesce(tokens, '') AS tokens FROM (SELECT review_id FROM {docs}) LEFT JOIN ({rows}) USING (review_id)"
+
+
 def _joined(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys, F.array_join("tokens", " ").alias("tokens"))
 
@@ -78,50 +83,50 @@ def collocations(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("score", F.round("score", 6))
 
 
-@query("E6", sql("seg_merged", "SELECT review_id, string_agg(w, ' ' ORDER BY pos) AS tokens FROM seg_merged GROUP BY review_id"))
+@query("E6", sql("seg_docs seg_merged", _every("SELECT review_id, string_agg(w, ' ' ORDER BY pos) AS tokens FROM seg_merged GROUP BY review_id", "seg_docs")))
 def merged_collocations(spark: SparkSession, sf: str) -> DataFrame:
     docs = fx.segment_docs(spark, sf)
     merged = merge_bigrams(docs, score_bigrams(docs, TOPIC_SEGMENT), TOPIC_SEGMENT)
-    return _joined(merged.filter(F.size("tokens") > 0), "review_id")
+    return _joined(merged, "review_id")
 
 
 @query(
     "E7 J8",
-    sql("tokens lexicon", """SELECT review_id, string_agg(lemma, ' ' ORDER BY t.pos) AS tokens FROM tokens t
-    JOIN (SELECT w, pos AS tag, lemma FROM lexicon) l USING (w) WHERE tag IN ('N','A','V','R') AND lemma <> '-PRON-' GROUP BY review_id"""),
+    sql("token_docs tokens lexicon", _every("""SELECT review_id, string_agg(lemma, ' ' ORDER BY t.pos) AS tokens FROM tokens t
+    JOIN (SELECT w, pos AS tag, lemma FROM lexicon) l USING (w) WHERE tag IN ('N','A','V','R') AND lemma <> '-PRON-' GROUP BY review_id""")),
 )
 def content_lemmas(spark: SparkSession, sf: str) -> DataFrame:
     lemmas = lx.lemmatize(fx.tokens(spark, sf), fx.lexicon(spark, sf))
-    return _joined(lx.gather_tokens(lemmas, word="lemma"), "review_id")
+    return _joined(lx.gather_tokens(lemmas, word="lemma", base=fx.token_docs(spark, sf)), "review_id")
 
 
 @query(
     "E8 J8",
-    sql("tokens lexicon", """SELECT review_id, string_agg(lemma, ' ' ORDER BY t.pos) AS tokens FROM tokens t
-    JOIN (SELECT w, lemma FROM lexicon) l USING (w) WHERE lemma <> '-PRON-' GROUP BY review_id"""),
+    sql("token_docs tokens lexicon", _every("""SELECT review_id, string_agg(lemma, ' ' ORDER BY t.pos) AS tokens FROM tokens t
+    JOIN (SELECT w, lemma FROM lexicon) l USING (w) WHERE lemma <> '-PRON-' GROUP BY review_id""")),
 )
 def all_lemmas(spark: SparkSession, sf: str) -> DataFrame:
     lemmas = lx.lemmatize(fx.tokens(spark, sf), fx.lexicon(spark, sf), keep_pos=None)
-    return _joined(lx.gather_tokens(lemmas, word="lemma"), "review_id")
+    return _joined(lx.gather_tokens(lemmas, word="lemma", base=fx.token_docs(spark, sf)), "review_id")
 
 
 @query(
     "E9",
-    sql("tokens lexicon", """SELECT review_id, string_agg(CASE WHEN tag = 'N' THEN lemma ELSE w END, ' ' ORDER BY t.pos) AS tokens
-    FROM tokens t JOIN (SELECT w, pos AS tag, lemma FROM lexicon) l USING (w) GROUP BY review_id"""),
+    sql("token_docs tokens lexicon", _every("""SELECT review_id, string_agg(CASE WHEN tag = 'N' THEN lemma ELSE w END, ' ' ORDER BY t.pos) AS tokens
+    FROM tokens t JOIN (SELECT w, pos AS tag, lemma FROM lexicon) l USING (w) GROUP BY review_id""")),
 )
 def noun_lemmas(spark: SparkSession, sf: str) -> DataFrame:
     lemmas = lx.lemmatize(fx.tokens(spark, sf), fx.lexicon(spark, sf), keep_pos=None, mode="noun")
-    return _joined(lx.gather_tokens(lemmas.drop("w"), word="lemma"), "review_id")
+    return _joined(lx.gather_tokens(lemmas.drop("w"), word="lemma", base=fx.token_docs(spark, sf)), "review_id")
 
 
 @query(
     "J2 E11",
-    sql("tokens stopwords", "SELECT review_id, string_agg(w, ' ' ORDER BY pos) AS tokens FROM tokens WHERE w NOT IN (SELECT w FROM stopwords) GROUP BY review_id"),
+    sql("token_docs tokens stopwords", _every("SELECT review_id, string_agg(w, ' ' ORDER BY pos) AS tokens FROM tokens WHERE w NOT IN (SELECT w FROM stopwords) GROUP BY review_id")),
 )
 def without_stopwords(spark: SparkSession, sf: str) -> DataFrame:
     kept = lx.remove_stopwords(fx.tokens(spark, sf), fx.stopwords(spark))
-    return _joined(lx.gather_tokens(kept), "review_id")
+    return _joined(lx.gather_tokens(kept, base=fx.token_docs(spark, sf)), "review_id")
 
 
 @query(

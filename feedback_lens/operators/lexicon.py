@@ -25,10 +25,16 @@ def explode_tokens(df: DataFrame, tokens: str = "tokens", keep: Sequence[str] =
     return df.select(*keep, F.posexplode(tokens).alias("pos", "w"))
 
 
-def gather_tokens(long: DataFrame, keep: Sequence[str] = ("review_id",), word: str = "w") -> DataFrame:
-    """Back to one ordered array per review; a group is one review."""
+def gather_tokens(
+    long: DataFrame, keep: Sequence[str] = ("review_id",), word: str = "w", base: DataFrame | None = None
+) -> DataFrame:
+    """Back to one ordered array per review; a group is one review. Reviews of ``base`` without a token get an empty array."""
     ordered = F.sort_array(F.collect_list(F.struct("pos", F.col(word).alias("w"))))
-    return long.groupBy(*keep).agg(F.transform(ordered, lambda s: s["w"]).alias("tokens"))
+    gathered = long.groupBy(*keep).agg(F.transform(ordered, lambda s: s["w"]).alias("tokens"))
+    if base is None:
+        return gathered
+    empty = F.array().cast("array<string>")
+    return base.select(*keep).join(gathered, list(keep), "left").withColumn("tokens", F.coalesce("tokens", empty))
 
 
 def guess_tag(word: Column) -> Column:

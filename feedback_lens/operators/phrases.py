@@ -19,12 +19,11 @@ PATTERNS = {"noun": NOUN_PATTERN, "verb": VERB_PATTERN, "prep": PREP_PATTERN}
 # Phrase kinds by priority when a hypothesis has equally many of two kinds.
 PHRASE_TYPES = ("noun", "verb", "prep")
 
-_OPEN, _CLOSE = "\u0001", "\u0002"
-
-
 def gather_tagged(tagged: DataFrame, id_col: str = "review_id", word: str = "lemma") -> DataFrame:
     """``words`` and ``tags`` per review, in order; a group is one review."""
-    ordered = F.sort_array(F.collect_list(F.struct("pos", F.col(word).alias("word"), "tag")))
+    wrong = F.concat(F.lit("a tag must be one capital letter: "), F.col("tag"))
+    tag = F.when(F.rlike("tag", F.lit("^[A-Z]$")), F.col("tag")).otherwise(F.raise_error(wrong)).alias("tag")
+    ordered = F.sort_array(F.collect_list(F.struct("pos", F.col(word).alias("word"), tag)))
     return (
         tagged.groupBy(id_col)
         .agg(ordered.alias("t"))
@@ -37,19 +36,19 @@ def gather_tagged(tagged: DataFrame, id_col: str = "review_id", word: str = "lem
 
 
 def match_phrases(words: Column, tags: Column, pattern: str) -> Column:
-    """Longest left-to-right matches of a tag pattern as phrases."""
+    """Longest left-to-right matches of a tag pattern as phrases: runs of tags, with their offset, cut the words."""
     marked = F.regexp_replace(tags, f"({pattern})", "<$1>")
-    letters = F.regexp_extract_all(marked, F.lit("<?[A-Z]>?"), F.lit(0))
-    bordered = F.zip_with(
-        words,
-        letters,
-        lambda w, m: F.concat(
-            F.when(F.startswith(m, F.lit("<")), _OPEN).otherwise(""),
-            w,
-            F.when(F.endswith(m, F.lit(">")), _CLOSE).otherwise(""),
-        ),
-    )
-    found = F.regexp_extract_all(F.array_join(bordered, " "), F.lit(f"{_OPEN}([^{_CLOSE}]*){_CLOSE}"), F.lit(1))
+    runs = F.regexp_extract_all(marked, F.lit("<[^<>]+>|[^<>]+"), F.lit(0))
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("found"))
+
+    def step(done: Column, run: Column) -> Column:
+        hit = F.startswith(run, F.lit("<"))
+        size = F.length(run) - F.when(hit, 2).otherwise(0)
+        phrase = F.array_join(F.slice(words, done["at"], size), " ")
+        found = F.when(hit, F.concat(done["found"], F.array(phrase))).otherwise(done["found"])
+        return F.struct((done["at"] + size).alias("at"), found.alias("found"))
+
+    found = F.aggregate(runs, start, step, lambda done: done["found"])
     return F.when(F.length(tags) > 0, found).otherwise(F.array().cast("array<string>"))
 
 

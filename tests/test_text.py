@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from feedback_lens.functions import tokens as tk
 from feedback_lens.operators.collocations import merge_bigrams
-from feedback_lens.operators.phrases import PATTERNS, match_phrases
+from feedback_lens.operators.lexicon import gather_tokens
+from feedback_lens.operators.phrases import PATTERNS, match_phrases, noun_phrases
 from feedback_lens.operators.spelling import correction_table
 
 
@@ -76,3 +77,16 @@ def test_spelling_by_brute_force(spark):
         if near:
             expected[w] = min(near)[2]
     assert {r.w: r.corrected for r in table.collect()} == expected
+
+
+def test_phrases_of_words_with_control_characters(spark):
+    rows = spark.createDataFrame([(["\x01", "leak", "pot", "\x02"], "XVNX"), ([], ""), (["a"], "N")], "words array<string>, tags string")
+    found = [r.p for r in rows.select(noun_phrases(F.col("words"), F.col("tags")).alias("p")).collect()]
+    assert found == [["pot"], [], ["a"]]
+
+
+def test_reviews_without_tokens_stay(spark):
+    base = spark.createDataFrame([(1,), (2,)], "review_id long")
+    long = spark.createDataFrame([(1, 1, "b"), (1, 0, "a")], "review_id long, pos int, w string")
+    found = {r.review_id: r.tokens for r in gather_tokens(long, base=base).collect()}
+    assert found == {1: ["a", "b"], 2: []}
