@@ -35,6 +35,8 @@ from feedback_lens.llm.common import arrow_column, arrow_stream, ascii_words, ha
 BUCKET_BITS = 20
 PRIOR_DOCS = 20.0
 ROOT_LEAST = 5.0
+#: Tokens were picked as the most telling ones, which the law of chance segments does not know; p-values are raised by this factor.
+SELECTION = 30.0
 DRIFT = 1.0
 SIGNIFICANT = 0.05
 MAX_LABELLED = 30_000
@@ -132,7 +134,7 @@ class Model:
             p = min(p, 2.0**r * tail)
             if r > 50:
                 break
-        return min(1.0, max(p, 1e-300))
+        return min(1.0, max(SELECTION * p, 1e-300))
 
     def score(self, text: str) -> float:
         """Probability that the text is toxic."""
