@@ -2,15 +2,16 @@
 
 A document's set holds its distinct word shingles as 64-bit hashes. Documents with the same word sequence form one class first, so copies
 meet once per class. The class representatives (smallest id) get ``BANDS * ROWS`` MinHash values; those that agree on a whole band are
-candidates. At the threshold 0.85 a pair misses all bands with probability (1 - 0.85**4)**20, about 4e-7.
+candidates. At the threshold 0.85 a pair misses all bands with probability (1 - 0.85**4)**24, about 2e-8.
 
-Candidates are never expanded into all pairs of a bucket at once. First each document meets one pivot, the smallest id over its buckets.
-What is linked then shares a component; only buckets that still hold several components are compared fully, block against block,
-and give the pairs whose components differ. So no link between components is lost, and a group of near copies costs one pair each.
+Candidates are never expanded into all pairs of a bucket at once. First each document meets one pivot: the member of its buckets with the
+fewest shingles of its own. What is linked then shares a component; only buckets that still hold several components are compared fully,
+block against block, and give the pairs whose components differ and whose shared shingles can suffice. So no link between components
+is lost, and a group of near copies costs about one pair each.
 
 Pairs are compared batch by batch of their signatures. With a uniform prior on the similarity, m matches among n leave the posterior
 probability P(Bin(n + 1, t) <= m) that it reaches the threshold t; a pair is dropped once that is below ``MISS``. Survivors are verified
-exactly on full sets, recomputed from whole texts.
+exactly on full sets, made from whole texts.
 
 Null or wordless texts have an empty set and are linked with nothing. A null id takes no part: its component is null and it is kept. Ids are
 meant to be unique: rows that share an id are linked each by its own text. Empty tables give empty results. Only id and text are read.
@@ -27,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedback_lens.llm.common import arrow_column, arrow_map, arrow_stream, ascii_words, mix, shingle_hashes, store
+from feedback_lens.llm.common import arrow_column, arrow_map, arrow_stream, ascii_words, mix, release, saved_table, shingle_hashes, store
 from feedback_lens.llm.components import components
 
-BANDS, ROWS = 20, 4
+BANDS, ROWS = 24, 4
 HASHES = BANDS * ROWS
 BATCH = 16
 MISS = 1e-9
@@ -123,22 +124,42 @@ def _let_through(spark, percent: int) -> Callable:
     return lambda a, b: column(F.struct(F.col(a).alias("a"), F.col(b).alias("b")))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """Pairs (pivot, id) whose full sets reach the threshold. A pivot's set goes once to each share of its partners."""
-    counts = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / PIVOT_ROWS).alias("salts"))
-    members = pairs.join(counts, "pivot").select("id", "pivot", F.pmod(F.xxhash64("id"), "salts").alias("salt"), F.lit(1).alias("member"))
-    pivots = counts.select(F.col("pivot").alias("id"), "pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("member"))
-    wanted = members.union(pivots)
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id")
-    kind = pairs.schema["id"].dataType.simpleString()
+def _full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """Rows id, set (sorted hashes) of the documents named in ``ids``."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
         values = [shingle_set(text, size).tobytes() for text in batch["text"].to_pylist()]
-        names = ["id", "pivot", "salt", "member"]
-        return pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(values, pa.binary())], [*names, "set"])
+        return pa.RecordBatch.from_arrays([batch["id"], pa.array(values, pa.binary())], ["id", "set"])
+
+    return arrow_map(docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id"), sets, f"id {kind}, set binary")
+
+
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """Rows id, n, own: the size of each set, and how many of its shingles no other set has."""
+    kind = sets.schema["id"].dataType.simpleString()
+
+    def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = batch["set"].to_pylist()
+        rows = np.repeat(np.arange(len(values)), [len(v) // 8 for v in values])
+        hashes = np.frombuffer(b"".join(values), np.int64)
+        return pa.RecordBatch.from_arrays([batch["id"].take(pa.array(rows)), pa.array(hashes)], ["id", "hash"])
 
-    hashed = arrow_map(texts, sets, f"id {kind}, pivot {kind}, salt long, member int, set binary")
-    ordered = hashed.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "member")
+    once = arrow_map(sets, spread, f"id {kind}, hash long").groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
+    own = once.where("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    sizes = sets.select("id", (F.octet_length("set") / 8).cast("long").alias("n"))
+    return sizes.join(own, "id", "left").select("id", "n", F.coalesce("own", F.lit(0)).alias("own"))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (pivot, id) whose full sets reach the threshold. A pivot's set goes once to each share of its partners."""
+    counts = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / PIVOT_ROWS).alias("salts"))
+    members = pairs.join(counts, "pivot").select("id", "pivot", F.pmod(F.xxhash64("id"), "salts").alias("salt"), F.lit(1).alias("member"))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
+    pivots = counts.select(F.col("pivot").alias("id"), "pivot", salts, F.lit(0).alias("member"))
+    joined = sets.join(members.union(pivots), "id").select("id", "pivot", "salt", "member", "set")
+    ordered = joined.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "member")
+    kind = pairs.schema["id"].dataType.simpleString()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, own = None, []
@@ -160,14 +181,18 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
 
 
 def _cross_pairs(shared: DataFrame, labels: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket whose components differ and that pass the signature test; blocks of a bucket meet pairwise in tasks of their own."""
-    rows = shared.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).select("key", "id", "label")
-    mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high")
-    blocks = F.ceil(F.col("n") / BLOCK)
+    """Pairs of one bucket whose components differ and that may reach the threshold; blocks of a bucket meet pairwise in tasks of their own.
+
+    Shingles that no other set has cannot be shared, which bounds the similarity of a pair exactly; what the bound lets through takes the
+    signature test. ``signatures`` has n and own as well.
+    """
+    rows = shared.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).select("key", "band", "id", "label")
+    mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("rows")).where("low <> high")
+    blocks = F.ceil(F.col("rows") / BLOCK)
     rows = rows.join(mixed, "key").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
     meets = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     rows = rows.withColumn("other", meets).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    rows = rows.select("key", "i", "j", "block", "id", "label").join(signatures, "id")
+    rows = rows.select("key", "i", "j", "band", "block", "id", "label").join(signatures, "id")
     ordered = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "block", "id")
     kind = shared.schema["id"].dataType.simpleString()
 
@@ -179,21 +204,28 @@ def _cross_pairs(shared: DataFrame, labels: DataFrame, signatures: DataFrame, pe
                 return
             ids, blocks, labels_ = (np.array([row[k] for row in group]) for k in (1, 0, 2))
             marks = np.frombuffer(b"".join(row[3] for row in group), np.uint32).reshape(-1, HASHES)
+            sizes, common = (np.array([row[k] for row in group], np.int64) for k in (4, 5))
             for at in range(len(group) - 1):
                 # Pairs within a block belong to the task of that block alone.
                 other = np.flatnonzero(labels_[at + 1 :] != labels_[at]) + at + 1
                 if key[1] != key[2]:
                     other = other[blocks[other] != blocks[at]]
+                most = np.minimum(common[other], common[at])
+                other = other[100 * most >= percent * (sizes[other] + sizes[at] - most)]
                 hit = other[may_reach(np.broadcast_to(marks[at], (len(other), HASHES)), marks[other], percent)]
+                # A pair that meets in several bands belongs to the first of them.
+                agree = (marks[hit].reshape(-1, BANDS, ROWS) == marks[at].reshape(BANDS, ROWS)).all(axis=2)
+                hit = hit[agree.argmax(axis=1) == group[at][6]]
                 out.extend((min(ids[at], x), max(ids[at], x)) for x in ids[hit])
 
         for batch in batches:
             kinds, out = batch["id"].type, []
-            for k, i, j, block, id_, label, marks in zip(*(batch[n].to_pylist() for n in ("key", "i", "j", "block", "id", "label", "signature")), strict=True):
+            names = ("key", "i", "j", "block", "id", "label", "signature", "n", "own", "band")
+            for k, i, j, block, id_, label, marks, n, own, band in zip(*(batch[c].to_pylist() for c in names), strict=True):
                 if key != (k, i, j):
                     pairs(out)
                     key, group = (k, i, j), []
-                group.append((block, id_, label, marks))
+                group.append((block, id_, label, marks, n, n - own, band))
             yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], kinds) for n in (0, 1)], ["pivot", "id"])
         out = []
         pairs(out)
@@ -212,23 +244,29 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, size: int = SHINGLE)
     signatures = used.join(heads, ["doc_id", "digest"], "left_semi").select(F.col("doc_id").alias("id"), "signature").dropDuplicates()
     width = 4 * ROWS
     keys = [F.xxhash64(F.substring("signature", 1 + i * width, width), F.lit(i)) for i in range(BANDS)]
-    buckets = signatures.select("id", F.explode(F.array(*keys)).alias("key"))
-    crowded = buckets.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot <> last").drop("last")
-    shared = store(buckets.join(crowded, "key"))
+    buckets = signatures.select("id", F.posexplode(F.array(*keys)).alias("band", "key"))
+    crowded = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("key")
+    shared = store(buckets.join(crowded, "key").select("key", "band", "id"))
+    sets = saved_table(_full_sets(docs, shared.select("id").distinct(), size))
+    release(spark)
+    known = store(_own_shingles(sets).join(signatures, "id"))
     passes = _let_through(spark, percent)
-
-    def tested(pairs: DataFrame) -> DataFrame:
-        own = signatures.select("id", F.col("signature").alias("own"))
-        head = signatures.select(F.col("id").alias("pivot"), F.col("signature").alias("head"))
-        return pairs.join(own, "id").join(head, "pivot").where(passes("own", "head")).select("pivot", "id")
-
-    stars = shared.groupBy("id").agg(F.min("pivot").alias("pivot")).where("pivot <> id").select("pivot", "id")
-    links = store(_verified(store(tested(stars)), docs, percent, size))
+    # The pivot of a bucket is its least peculiar member: an original is nearer to its edited copies than they are to each other.
+    weighed = shared.join(known.select("id", "own"), "id")
+    pivots = weighed.groupBy("key").agg(F.min(F.struct("own", "id")).alias("pivot"))
+    stars = weighed.join(pivots, "key").groupBy("id").agg(F.min("pivot").alias("pivot")).select(F.col("pivot.id").alias("pivot"), "id")
+    stars = store(stars.where("pivot <> id"))
+    own = known.select("id", F.col("signature").alias("own_signature"))
+    head = known.select(F.col("id").alias("pivot"), F.col("signature").alias("head_signature"))
+    tested = stars.join(own, "id").join(head, "pivot").where(passes("own_signature", "head_signature")).select("pivot", "id")
+    links = store(_verified(tested, sets, percent))
     labels = store(components(links))
     # Pairs of one component need no test; star pairs that failed theirs fail again, so they are left out here.
-    more = store(_cross_pairs(shared.select("key", "id"), labels, signatures, percent).join(stars, ["pivot", "id"], "left_anti"))
+    both = F.struct(F.least("pivot", "id").alias("x"), F.greatest("pivot", "id").alias("y"))
+    more = _cross_pairs(shared, labels, known, percent).withColumn("both", both)
+    more = store(more.join(stars.select(both.alias("both")), "both", "left_anti").select("pivot", "id"))
     if not more.isEmpty():
-        labels = store(components(links.union(_verified(more, docs, percent, size))))
+        labels = store(components(links.union(_verified(more, sets, percent))))
     found = classes.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     out = sketched.select("doc_id", "n_shingles", "digest").join(found, "digest", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
