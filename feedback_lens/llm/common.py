@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -149,10 +150,24 @@ def saved_table(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(saved: DataFrame) -> None:
+    """Delete a table of ``saved_table`` that nothing reads any more."""
+    spark = saved.sparkSession
+    for file in {name.rpartition("/")[0] for name in saved.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished phases: it does so once the driver has collected what refers to them."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values in order, with their counts."""
     values = np.sort(values)

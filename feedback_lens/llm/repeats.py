@@ -10,8 +10,8 @@ places matter (exact copies of a document are one place; all but the first go wh
 but the first are repeats. Different contexts of one anchor go to the shard's suffix array (``suffixes.Shard``): neighbours with a common
 prefix of WINDOW bytes or more are equal windows, of which all but the first are repeats.
 
-Null is the empty text. Ids are meant to be unique: rows that share id and text are one document; those that share only the id are ordered
-by their text's hash. A null id comes last. Empty tables give empty results. Only id and text are read.
+Null is the empty text. Ids are meant to be unique: rows that share id and text are one document; those that share only the id are in
+order of their strings' starts. A null id comes last. Empty tables give empty results. Only id and text are read.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedback_lens.llm.common import arrow_column, arrow_map, arrow_stream, mix, saved_table
+from feedback_lens.llm.common import arrow_column, arrow_map, arrow_stream, discard, mix, release, saved_table
 from feedback_lens.llm.suffixes import Shard
 
 WINDOW = 100
@@ -72,29 +72,34 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
+def _place(start, tag, span):
+    """Start, text tag and number of further windows of a context in one number."""
+    return (start << 24) + (tag << 8) + span
+
+
 def _anchor_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    rows, hashes, starts, spans = [], [], [], []
-    for row, text in enumerate(batch["text"].to_pylist()):
+    rows, hashes, places = [], [], []
+    for row, (text, tag) in enumerate(zip(batch["text"].to_pylist(), batch["tag"].to_pylist(), strict=True)):
         h, first, last = anchors((text or "").encode())
         rows.append(np.full(len(h), row))
         hashes.append(h.view(np.int64))
-        starts.append(first)
-        spans.append(last - first)
-    at = pa.array(np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64))
-    columns = [pa.array(np.concatenate([*c, np.empty(0)]).astype(t)) for c, t in ((hashes, np.int64), (starts, np.int32), (spans, np.int32))]
-    return pa.RecordBatch.from_arrays([batch["id"].take(at), batch["digest"].take(at), *columns], ["id", "digest", "anchor", "start", "span"])
+        places.append(_place(first, tag, last - first))
+    at = pa.array(np.concatenate([*rows, np.empty(0)]).astype(np.int64))
+    columns = [pa.array(np.concatenate([*c, np.empty(0, np.int64)])) for c in (hashes, places)]
+    return pa.RecordBatch.from_arrays([batch["id"].take(at), *columns], ["id", "anchor", "place"])
 
 
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Context of every hit with its hash; its bytes only where the task has not sent them yet."""
     sent: set[tuple[int, int]] = set()
     for batch in batches:
-        rows, anchor_, context, start_, span_, data_ = [], [], [], [], [], []
+        rows, anchor_, context, place_, data_ = [], [], [], [], []
         for row, (text, hits) in enumerate(zip(batch["text"].to_pylist(), batch["hits"].to_pylist(), strict=True)):
             data = (text or "").encode()
             for hit in hits:
-                anchor, start, span = hit["anchor"], hit["start"], hit["span"]
-                part = data[start : start + span + WINDOW]
+                anchor, place = hit["anchor"], hit["place"]
+                start = place >> 24
+                part = data[start : start + (place & 0xFF) + WINDOW]
                 value = int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little", signed=True)
                 new = (anchor, value) not in sent
                 if new:
@@ -102,31 +107,24 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 rows.append(row)
                 anchor_.append(anchor)
                 context.append(value)
-                start_.append(start)
-                span_.append(span)
+                place_.append(place)
                 data_.append(part if new else None)
             if len(sent) > 500_000:
                 sent.clear()
-        at = pa.array(rows, pa.int64())
-        columns = [pa.array(c, t) for c, t in ((anchor_, pa.int64()), (context, pa.int64()), (start_, pa.int32()), (span_, pa.int32()), (data_, pa.binary()))]
-        yield pa.RecordBatch.from_arrays([batch["id"].take(at), batch["digest"].take(at), *columns], ["id", "digest", "anchor", "context", "start", "span", "data"])
-
-
-def _first_of(prefix: str = "") -> tuple:
-    return (F.col(prefix + "id"), F.col(prefix + "digest"), F.col(prefix + "start"))
+        columns = [pa.array(c, t) for c, t in ((anchor_, pa.int64()), (context, pa.int64()), (place_, pa.int64()), (data_, pa.binary()))]
+        yield pa.RecordBatch.from_arrays([batch["id"].take(pa.array(rows, pa.int64())), *columns], ["id", "anchor", "context", "place", "data"])
 
 
-def _repeated_windows(strings: list[bytes], owners: list[tuple[int, int, int]], window: int) -> Iterator[tuple[int, int, int]]:
+def _repeated_windows(strings: list[bytes], owners: list[tuple[int, int]], window: int) -> Iterator[tuple[int, int, int]]:
     """For different contexts of common anchors: (context, first, behind the last) of bytes that a repeated window covers.
 
-    ``owners`` holds document, digest and start of each context's first occurrence.
+    ``owners`` holds document and place of each context's first occurrence.
     """
     shard = Shard(window, SORT_MEMORY)
     try:
         begins = np.concatenate([shard.add(strings[i : i + 4096]) for i in range(0, len(strings), 4096)])
         lengths = np.array([len(s) for s in strings])
-        docs = np.unique(np.array([o[:2] for o in owners], np.int64), axis=0, return_inverse=True)[1].reshape(-1)  # order by id, then digest
-        starts = np.array([o[2] for o in owners], np.int64)
+        docs, starts = np.array([o[0] for o in owners], np.int64), np.array([o[1] >> 24 for o in owners], np.int64)
         marks = np.zeros(shard.size + 1, np.int8)
         for positions, shared in shard.sorted():
             of = np.searchsorted(begins, positions, side="right") - 1
@@ -150,19 +148,21 @@ def _repeated_windows(strings: list[bytes], owners: list[tuple[int, int, int]],
 def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by anchor and context: bytes from some tasks, and the first occurrence. Whole anchors are sorted together."""
     strings: list[bytes] = []
-    owners: list[tuple[int, int, int]] = []
+    owners: list[tuple[int, int]] = []
     size, key, data, owner = 0, None, None, None
-    names = ["id", "digest", "from", "to"]
 
     def solved() -> pa.RecordBatch:
-        found = [(*owners[k][:2], owners[k][2] + a, owners[k][2] + b) for k, a, b in _repeated_windows(strings, owners, WINDOW)] if strings else []
+        found = []
+        for k, a, b in _repeated_windows(strings, owners, WINDOW) if strings else ():
+            id_, place = owners[k]
+            found.append((id_, place >> 8 & 0xFFFF, (place >> 24) + a << 32 | (place >> 24) + b))
         strings.clear()
         owners.clear()
-        columns = list(zip(*found, strict=True)) or [()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names)
+        columns = list(zip(*found, strict=True)) or [()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["id", "tag", "span"])
 
     for batch in batches:
-        for anchor, context, id_, digest, start, bytes_ in zip(*(batch[n].to_pylist() for n in ("anchor", "context", "id", "digest", "start", "data")), strict=True):
+        for anchor, context, id_, place, bytes_ in zip(*(batch[n].to_pylist() for n in ("anchor", "context", "id", "place", "data")), strict=True):
             if key != (anchor, context):
                 if key is not None:
                     strings.append(data)
@@ -175,37 +175,78 @@ def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if bytes_ is not None:
                 data = bytes_
             else:
-                owner = (id_, digest, start)
+                owner = (id_, place)
     if key is not None:
         strings.append(data)
         owners.append(owner)
     yield solved()
 
 
-def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows id, digest, from, to (bytes that go, in pieces that may overlap), and rows id, digest of documents that go whole."""
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64("text").alias("digest"), "text")
-    found = saved_table(arrow_map(texts, _anchor_rows, "id long, digest long, anchor long, start int, span int"))
-    place = F.xxhash64("digest", "start")
-    common = found.groupBy("anchor").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("anchor")
-    known = found.groupBy("id", "digest").agg(F.lit(1).alias("one")).drop("one")
-    heads = known.groupBy("digest").agg(F.min("id").alias("head"))
-    copies = saved_table(known.join(heads, "digest").where("id <> head").select("id", "digest"))
-    hits = found.join(common.hint("shuffle_hash"), "anchor").join(copies, ["id", "digest"], "left_anti")
-    by_doc = hits.groupBy("id", "digest").agg(F.collect_set(F.struct("anchor", "start", "span")).alias("hits"))  # at most one per few bytes of a text
-    joined = texts.join(by_doc, ["id", "digest"]).select("id", "digest", "text", "hits")
-    schema = "id long, digest long, anchor long, context long, start int, span int, data binary"
-    contexts = saved_table(arrow_stream(joined, _cut_contexts, schema))
-    own = F.struct("id", "digest", "start")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows id, tag, text; the tag tells texts apart that share an id."""
+    tag = F.coalesce(F.xxhash64("text").bitwiseAND(0xFFFF), F.lit(0))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), tag.alias("tag"), "text")
+
+
+def _copies(texts: DataFrame) -> DataFrame:
+    """Rows id, tag of documents that equal an earlier one."""
+    long = texts.where(F.octet_length("text") >= WINDOW).select("id", "tag", F.sha2("text", 256).alias("digest"))
+    heads = long.groupBy("digest").agg(F.min("id").alias("head"))
+    return saved_table(long.join(heads, "digest").where("id <> head").select("id", "tag").distinct())
+
+
+def _hits(texts: DataFrame, copies: DataFrame) -> DataFrame:
+    """Rows id, tag, hits: for each document the anchors that occur elsewhere too (at most one per few bytes of its text)."""
+    found = saved_table(arrow_map(texts, _anchor_rows, "id long, anchor long, place long"))
+    common = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    tag = F.shiftright("place", 8).bitwiseAND(0xFFFF).alias("tag")
+    hits = found.join(common.hint("shuffle_hash"), "anchor").select("id", tag, "anchor", "place").join(copies, ["id", "tag"], "left_anti")
+    hits = saved_table(hits.groupBy("id", "tag").agg(F.collect_set(F.struct("anchor", "place")).alias("hits")))
+    discard(found)
+    return hits
+
+
+def _contexts(texts: DataFrame, copies: DataFrame) -> DataFrame:
+    hits = _hits(texts, copies)
+    release(texts.sparkSession)
+    joined = texts.join(hits, ["id", "tag"]).select("id", "text", "hits")
+    contexts = saved_table(arrow_stream(joined, _cut_contexts, "id long, anchor long, context long, place long, data binary"))
+    discard(hits)
+    return contexts
+
+
+def _repeated(contexts: DataFrame) -> DataFrame:
+    """Rows id, tag, span: bytes that go, as first << 32 | behind the last; spans may overlap."""
+    own = F.struct("id", "place")
     firsts = contexts.groupBy("anchor", "context").agg(F.min(own).alias("first"))
     mixed = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    bytes_ = contexts.where("data is not null").select("anchor", "context", "id", "digest", "start", "data")
-    owners = firsts.select("anchor", "context", "first.id", "first.digest", "first.start", F.lit(None).cast("binary").alias("data"))
+    bytes_ = contexts.where("data is not null").select("anchor", "context", "id", "place", "data")
+    owners = firsts.select("anchor", "context", "first.id", "first.place", F.lit(None).cast("binary").alias("data"))
     shards = bytes_.union(owners).join(mixed, "anchor").repartition("anchor").sortWithinPartitions("anchor", "context")
-    sorted_ = arrow_stream(shards.select("anchor", "context", "id", "digest", "start", "data"), _sort_shards, "id long, digest long, from int, to int")
+    different = arrow_stream(shards.select("anchor", "context", "id", "place", "data"), _sort_shards, "id long, tag long, span long")
     later = contexts.drop("data").join(firsts, ["anchor", "context"]).where(own != F.col("first"))
-    equal = later.select("id", "digest", F.col("start").alias("from"), (F.col("start") + F.col("span") + WINDOW).alias("to"))
-    return sorted_.union(equal), copies
+    start = F.shiftright("place", 24)
+    span = F.shiftleft(start, 32) + start + F.col("place").bitwiseAND(0xFF) + WINDOW
+    equal = later.select("id", F.shiftright("place", 8).bitwiseAND(0xFFFF).alias("tag"), span.alias("span"))
+    return different.union(equal)
+
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """Rows id, tag, spans (as in ``_repeated``), whole (all of the document goes) for documents that lose bytes.
+
+    Phases end in saved tables, so that the shuffle files of one can go before the next one writes its own.
+    """
+    texts = _keyed(docs)
+    copies = _copies(texts)
+    contexts = _contexts(texts, copies)
+    release(docs.sparkSession)
+    lists = _repeated(contexts).groupBy("id", "tag").agg(F.collect_list("span").alias("spans"))
+    marks = lists.join(copies.withColumn("whole", F.lit(True)), ["id", "tag"], "full_outer")
+    marks = saved_table(marks.select("id", "tag", "spans", F.coalesce("whole", F.lit(False)).alias("whole")))
+    discard(contexts)
+    del lists, contexts
+    release(docs.sparkSession)
+    return marks
 
 
 def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -220,15 +261,11 @@ def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_spans`` (packed pairs of first byte and end, may overlap) and ``_whole``."""
-    spans, copies = repeated_spans(docs)
-    packed = F.shiftleft(F.col("from").cast("long"), 32) + F.col("to").cast("long")
-    lists = spans.groupBy("id", "digest").agg(F.collect_list(packed).alias("_spans"))
-    marks = lists.join(copies.withColumn("_whole", F.lit(True)), ["id", "digest"], "full_outer").select(
-        F.col("id").alias("_id"), F.col("digest").alias("_digest"), "_spans", F.coalesce("_whole", F.lit(False)).alias("_whole")
-    )
-    key = (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col("_id")) & (F.xxhash64("text") == F.col("_digest"))
-    return docs.join(marks, key, "left").drop("_id", "_digest")
+    """``docs`` with ``__repeats_spans`` (packed, may overlap) and ``__repeats_whole``."""
+    marks = repeated_spans(docs).withColumnsRenamed({name: f"__repeats_{name}" for name in ("id", "tag", "spans", "whole")})
+    tag = F.coalesce(F.xxhash64("text").bitwiseAND(0xFFFF), F.lit(0))
+    key = (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)) == F.col("__repeats_id")) & (tag == F.col("__repeats_tag"))
+    return docs.join(marks, key, "left").drop("__repeats_id", "__repeats_tag")
 
 
 def _kept(text: str | None, spans: list[int] | None, whole: bool | None) -> tuple[bytes, list[tuple[int, int]], bytes]:
@@ -246,7 +283,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for text, spans, whole in zip(*(batch[n].to_pylist() for n in ("text", "_spans", "_whole")), strict=True):
+        for text, spans, whole in zip(*(batch[n].to_pylist() for n in ("text", "__repeats_spans", "__repeats_whole")), strict=True):
             data, runs, kept = _kept(text, spans, whole)
             rows.append((len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), [list(r) for r in runs]))
         columns = list(zip(*rows, strict=True)) or [()] * 5
@@ -269,5 +306,5 @@ def kept_text(spark) -> Callable:
 def texts_without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated strings cut out of ``text``; other columns stay."""
     cut = kept_text(docs.sparkSession)
-    rest = cut(F.struct("text", "_spans", "_whole"))
+    rest = cut(F.struct("text", "__repeats_spans", "__repeats_whole"))
     return _with_spans(docs).withColumn("text", rest).select(*docs.columns)

@@ -68,14 +68,23 @@ def test_given_documents(spark):
 
 def test_texts_and_edge_cases(spark):
     long = "q w e r t y " * 40_000 + "end"
-    rows = [(1, "a" * 150), (2, "b" + "a" * 120 + "c"), (None, "a" * 150), (3, long), (3, None), (4, "short")]
+    rows = [(1, "a" * 150), (2, "b" + "a" * 120 + "c"), (None, "a" * 150), (3, long), (3, None), (4, "short"), (5, "short"), (5, "short")]
     df = spark.createDataFrame([(*r, "s", 3) for r in rows], "doc_id long, text string, source string, n_chars int")
-    got = sorted(map(tuple, rp.texts_without_repeats(df).collect()), key=str)
-    want = [(1, "a" * 100), (2, "bc"), (None, ""), (3, ("q w e r t y " * 9)[:111] + "end"), (3, None), (4, "short")]
-    texts = {(i, t) for i, t, _, _ in got}
-    assert len(got) == 6 and {(2, "bc"), (None, ""), (3, None), (4, "short")} <= texts
-    assert [t for i, t, _, _ in got if i == 3 and t][0].endswith("end") and want
-    assert rp.without_repeats(df.limit(0)).count() == 0
+    got = rp.texts_without_repeats(df)
+    assert got.columns == df.columns
+    texts = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert [t for i, t in texts if i == 3 and t] == [brute_text(long)]
+    assert [x for x in texts if x[0] != 3] == sorted([(1, brute_text("a" * 150)), (2, "bc"), (None, ""), (4, "short"), (5, "short"), (5, "short")], key=str)
+    assert (3, None) in texts and rp.without_repeats(df.limit(0)).count() == 0
+
+
+def brute_text(text, window=rp.WINDOW):
+    seen, gone = set(), [False] * len(text)
+    for k in range(len(text) - window + 1):
+        if text[k : k + window] in seen:
+            gone[k : k + window] = [True] * window
+        seen.add(text[k : k + window])
+    return "".join(c for c, g in zip(text, gone, strict=True) if not g)
 
 
 def sorted_brute(strings, limit):
