@@ -36,7 +36,7 @@ HASHES = BANDS * ROWS
 BATCH = 16
 MISS = 1e-9
 SHINGLE = 5
-BLOCK = 512
+BLOCK = 1024
 PIVOT_ROWS = 256
 CHUNK = 1 << 12
 _WORDS = mix(np.arange(2 * HASHES, dtype=np.uint64) + np.uint64(0x5EED))
@@ -256,17 +256,23 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, size: int = SHINGLE)
     pivots = weighed.groupBy("key").agg(F.min(F.struct("own", "id")).alias("pivot"))
     stars = weighed.join(pivots, "key").groupBy("id").agg(F.min("pivot").alias("pivot")).select(F.col("pivot.id").alias("pivot"), "id")
     stars = store(stars.where("pivot <> id"))
+    del weighed, pivots
+    release(spark)
     own = known.select("id", F.col("signature").alias("own_signature"))
     head = known.select(F.col("id").alias("pivot"), F.col("signature").alias("head_signature"))
     tested = stars.join(own, "id").join(head, "pivot").where(passes("own_signature", "head_signature")).select("pivot", "id")
     links = store(_verified(tested, sets, percent))
     labels = store(components(links))
+    del tested
+    release(spark)
     # Pairs of one component need no test; star pairs that failed theirs fail again, so they are left out here.
     both = F.struct(F.least("pivot", "id").alias("x"), F.greatest("pivot", "id").alias("y"))
     more = _cross_pairs(shared, labels, known, percent).withColumn("both", both)
     more = store(more.join(stars.select(both.alias("both")), "both", "left_anti").select("pivot", "id"))
+    release(spark)
     if not more.isEmpty():
-        labels = store(components(links.union(_verified(more, sets, percent))))
+        labels = store(components(store(links.union(_verified(more, sets, percent)))))
+        release(spark)
     found = classes.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     out = sketched.select("doc_id", "n_shingles", "digest").join(found, "digest", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
