@@ -8,7 +8,7 @@ as zero; a token takes the value of its most significant feature, less a drift t
 A linear scan finds all maximal scoring segments of a text. Scores of clean text follow an extreme-value law: ``lambda`` solves
 ``sum(p * exp(lambda * s)) = 1`` over the smoothed token scores of clean text, ``K`` is the maximum-likelihood value over the clean
 training documents. The expected number of chance segments, ``K * n * exp(-lambda * s)``, rates each passage; the r best passages
-together are rated by a Poisson tail. The document's p-value becomes a probability through the least Bayes factor ``-e p ln p``
+together are rated by a Poisson tail, for every r up to the number of segments, in logarithms. The document's p-value becomes a probability through the least Bayes factor ``-e p ln p``
 and the share of toxic documents.
 
 Features live in ``2 ** BUCKET_BITS`` hashed buckets, which bounds the model whatever the corpus. The labelled sample used for fitting
@@ -82,6 +82,29 @@ def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
     return [(right - left, start, end) for left, right, start, end in stack]
 
 
+def log_least(means: np.ndarray) -> float:
+    """Logarithm of the least ``2 ** r * P(N >= r)`` over all ranks r, N a Poisson number of mean ``means[r - 1]``; at most 0.
+
+    Where the mean is r or more, the tail is at least one half and the product at least 1. Elsewhere the tail is its first term times
+    ``1 + m / (r + 1) + m ** 2 / ((r + 1) * (r + 2)) + ...``; the series is added up for ranks whose first term may still be the least.
+    """
+    rank = np.arange(1, len(means) + 1, dtype=np.float64)
+    mean = np.maximum(means, 1e-300)
+    first = rank * np.log(2 * mean) - mean - np.cumsum(np.log(rank))
+    open_ = (mean < rank) & (first < 0)
+    if not open_.any():
+        return 0.0
+    rank, mean, first = rank[open_], mean[open_], first[open_]
+    kept = first <= (first - np.log1p(-mean / (rank + 1))).min()  # the geometric series bounds the other one
+    rank, mean, first = rank[kept], mean[kept], first[kept]
+    total, term, step = np.ones_like(mean), np.ones_like(mean), 0
+    while term.max() > 1e-17:
+        step += 1
+        term = term * mean / (rank + step)
+        total += term
+    return min(0.0, float((first + np.log(total)).min()))
+
+
 @dataclass
 class Model:
     """Token scores, the extreme-value law of clean text, and the share of toxic documents."""
@@ -121,20 +144,9 @@ class Model:
 
     def p_value(self, text: str) -> float:
         scores = self.scores(text)
-        best = sorted((s for s, _, _ in segments(scores)), reverse=True)
-        p = 1.0
-        for r, score in enumerate(best, 1):
-            mean = self.expected(score, len(scores))
-            term, below = math.exp(-mean), 0.0
-            for k in range(1, r + 1):
-                below += term
-                term *= mean / k
-            # For tiny means the difference 1 - below is lost; the leading term of the tail bounds it then.
-            tail = 1 - below if mean > 1e-2 else math.exp(r * math.log(max(mean, 1e-300)) - math.lgamma(r + 1))
-            p = min(p, 2.0**r * tail)
-            if r > 50:
-                break
-        return min(1.0, max(SELECTION * p, 1e-300))
+        best = np.sort([s for s, _, _ in segments(scores)])[::-1]
+        means = self.scale * len(scores) * np.exp(-np.minimum(self.decay * best, 700.0))
+        return math.exp(min(0.0, max(math.log(SELECTION) + log_least(means), math.log(1e-300))))
 
     def score(self, text: str) -> float:
         """Probability that the text is toxic."""

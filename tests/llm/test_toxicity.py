@@ -1,5 +1,6 @@
 import math
 import random
+from decimal import Decimal, localcontext
 
 import numpy as np
 
@@ -64,6 +65,34 @@ def test_held_out_accuracy_and_edge_cases(spark):
     assert [text[p.start : p.end] for p in found] == ["Grumphing grumph"]
 
 
+def test_all_segments_count():
+    word = "grumph"
+    for chance, times in ((1e-3, (1, 100)), (1e-4, (1, 100, 1000))):
+        weights = {tox.features(word)[-1]: (9.0, 4.0 + tox.DRIFT)}
+        model = tox.Model(weights, decay=1.0, scale=chance * math.exp(4.0))
+        text = " ".join(word if i % 42 == 1 else "the" for i in range(300)).replace(word, "the", 1)
+        assert len(tox.segments(model.scores(text))) == 7
+        p = [model.p_value(" ".join([text] * n)) for n in times]
+        assert p[0] < 1e-3 and all(math.isclose(x, 1e-300) for x in p[1:])
+        assert model.score(" ".join([text] * times[-1])) > 0.99
+
+
+def test_least_tail_equals_exact_sums():
+    rng = random.Random(4)
+    for _ in range(40):
+        means = sorted(rng.choice([0.02, 0.5, 3, 40]) * (0.01 + rng.random()) for _ in range(rng.randrange(1, 70)))
+        want = Decimal(0)
+        with localcontext(prec=450):
+            for r, mean in enumerate(map(Decimal, means), 1):
+                term, below = (-mean).exp(), Decimal(0)
+                for k in range(1, r + 1):
+                    below += term
+                    term *= mean / k
+                want = min(want, (2**r * (1 - below)).ln())
+        assert math.isclose(tox.log_least(np.array(means)), want, rel_tol=1e-9, abs_tol=1e-12)
+    assert tox.log_least(np.array([])) == 0.0
+
+
 def test_no_labels(spark):
     frame = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     model = tox.fit(frame, spark.createDataFrame([], "doc_id long, toxic int"))
