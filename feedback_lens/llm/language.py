@@ -30,10 +30,6 @@ BLOCK_TEXTS = 512
 BLOCK_GRAMS = 8192
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 UNDETERMINED = "und"
-#: An unrelated text has a cosine of standard deviation 1 / sqrt(DIMENSION) with a prototype, whatever its length; four of them are hardly chance.
-LEAST_SCORE = 4 / DIMENSION**0.5
-#: Shorter texts in a learned language may score below that, so their score decides nothing.
-LEAST_LETTERS = 100
 
 
 def letter_vectors(points: np.ndarray, dimension: int = DIMENSION) -> np.ndarray:
@@ -117,15 +113,6 @@ class Prototypes:
         score[blank] = 0
         return [UNDETERMINED if b else self.names[i] for b, i in zip(blank, best, strict=True)], score
 
-    def knows(self, texts: list[str]) -> np.ndarray:
-        """Texts with a letter, from ``LEAST_LETTERS`` on only with a score of ``LEAST_SCORE`` or more if there are prototypes."""
-        letters = np.fromiter((len(NOT_LETTERS.sub("", text.lower())) for text in texts), np.int64, len(texts))
-        known = letters > 0
-        long = np.flatnonzero(letters >= LEAST_LETTERS)
-        if self.names and len(long):
-            known[long] = self.predict([texts[i] for i in long])[1] >= LEAST_SCORE
-        return known
-
 
 def learn(docs: DataFrame, *, max_labelled: int = MAX_LABELLED) -> Prototypes:
     """Prototypes from rows with doc_id, text and a language."""
@@ -166,11 +153,6 @@ def predict_column(spark: SparkSession, prototypes: Prototypes) -> Callable[...,
     return arrow_column(spark, predict, "struct<lang_pred:string,score:double>")
 
 
-def knows_column(spark: SparkSession, prototypes: Prototypes) -> Callable[..., Column]:
-    """Text to whether it may be in a learned language (``Prototypes.knows``)."""
-    shared = spark.sparkContext.broadcast(prototypes)
-
-    def knows(texts: pa.Array) -> pa.Array:
-        return pa.array(shared.value.knows([text or "" for text in texts.to_pylist()]), pa.bool_())
-
-    return arrow_column(spark, knows, "boolean")
+def lettered_column(spark: SparkSession) -> Callable[..., Column]:
+    """Text to whether it has a letter."""
+    return arrow_column(spark, lambda texts: pa.array([bool(NOT_LETTERS.sub("", (t or "").lower())) for t in texts.to_pylist()], pa.bool_()), "boolean")
