@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_lens.llm import chat, fingerprints, language, minhash, packing, pieces, pivots, ppm, repeats, toxicity
+from feedback_lens.llm import chat, fingerprints, language, minhash, oracles, packing, pieces, pivots, ppm, repair, repeats, topk, toxicity
 from feedback_lens.llm.common import held_out, table
 
 #: A document is taken as toxic from this probability on.
@@ -69,6 +69,14 @@ def op10_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 OPERATORS = (
     op1_best_fit_packing,
     op2_hyperdimensional_language,
@@ -80,6 +88,8 @@ OPERATORS = (
     op8_minhash_near_duplicates,
     op9_partial_matching,
     op10_simhash_fingerprints,
+    op11_exact_top_k,
+    op13_conversation_repair,
 )
 
 
@@ -88,4 +98,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {op11_exact_top_k.__name__: oracles.EXACT_TOP_K, op13_conversation_repair.__name__: oracles.CONVERSATION_REPAIR}
