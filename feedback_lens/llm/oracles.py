@@ -70,3 +70,31 @@ SELECT conv_id, CAST(gaps AS BIGINT) AS gaps, blank, duplicate, truncated, illeg
   sha256(array_to_string(b.body, chr(10))) AS repaired_sha256
 FROM conversation JOIN counts USING (c) JOIN best USING (c)
 """
+
+PHRASE_COLLOCATIONS = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+  FROM documents),
+gram AS (
+  SELECT lang, 1 AS size, unnest(w) AS phrase FROM piece
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM piece
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM piece),
+f AS (SELECT lang, size, phrase, count(*) AS a FROM gram GROUP BY ALL),
+total AS (SELECT lang, sum(a) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidate AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, a FROM f WHERE size > 1 AND a >= 10),
+cut AS (
+  SELECT lang, size, phrase, w, a, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+  FROM candidate, (VALUES (1), (2)) AS ks(k) WHERE k < size),
+rated AS (
+  SELECT c.lang, c.size, c.phrase, c.a, min({'score': CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.a AS HUGEINT) * y.a), 'k': k, 'l': x.a, 'r': y.a}) AS b
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = c.lp JOIN f y ON y.lang = c.lang AND y.phrase = c.rp GROUP BY ALL),
+longer AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, a FROM candidate WHERE size = 3) GROUP BY ALL),
+kept AS (
+  SELECT r.*, row_number() OVER (PARTITION BY r.lang ORDER BY b.score DESC, r.a DESC, r.phrase) AS rank
+  FROM rated r LEFT JOIN longer l ON r.size = 2 AND l.lang = r.lang AND l.phrase = r.phrase WHERE l.a IS NULL OR 100 * l.a < 50 * r.a)
+SELECT lang, rank, phrase, a, CAST(b.l AS BIGINT) AS l, CAST(b.r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(b.score AS BIGINT) AS score
+FROM kept JOIN total USING (lang) WHERE rank <= 2000
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_lens.llm import chat, fingerprints, language, minhash, oracles, packing, pieces, pivots, ppm, repair, repeats, topk, toxicity
+from feedback_lens.llm import chat, collocations, fingerprints, language, minhash, oracles, packing, pieces, pivots, ppm, repair, repeats, topk, toxicity
 from feedback_lens.llm.common import held_out, table
 
 #: A document is taken as toxic from this probability on.
@@ -73,6 +73,10 @@ def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), top=2000, longest=3, least=10, share=50)
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired(repair.damaged(table(spark, sf_dir, "conversations")))
 
@@ -89,6 +93,7 @@ OPERATORS = (
     op9_partial_matching,
     op10_simhash_fingerprints,
     op11_exact_top_k,
+    op12_phrase_collocations,
     op13_conversation_repair,
 )
 
@@ -98,4 +103,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {op11_exact_top_k.__name__: oracles.EXACT_TOP_K, op13_conversation_repair.__name__: oracles.CONVERSATION_REPAIR}
+    return {
+        op11_exact_top_k.__name__: oracles.EXACT_TOP_K,
+        op12_phrase_collocations.__name__: oracles.PHRASE_COLLOCATIONS,
+        op13_conversation_repair.__name__: oracles.CONVERSATION_REPAIR,
+    }
