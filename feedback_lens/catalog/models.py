@@ -13,7 +13,6 @@ from feedback_lens.operators.bow import attach_idf, count_vectors, idf_table
 from feedback_lens.operators.coherence import cv_coherence, embedding_coherence, keyword_pairs
 from feedback_lens.operators.segments import polarity
 from feedback_lens.operators.topics import lda
-from feedback_lens.operators.topics.engine import chunk_docs
 from feedback_lens.plans import topics as tp
 from feedback_lens.plans.prepare import clean_legacy, cv_tokens, prepare, raw_words
 from feedback_lens.schema import TOPIC_SEGMENT
@@ -223,7 +222,7 @@ def lda_shares(spark: SparkSession, sf: str) -> DataFrame:
 def lda_grid(spark: SparkSession, sf: str) -> DataFrame:
     """Held-out perplexity of the twelve grid points in every segment, averaged over three folds."""
     counts = count_vectors(cv_tokens(_prepared(spark, sf)), stop=fx.stopwords(spark))
-    return lda.grid_scores(chunk_docs(counts, TOPIC_SEGMENT))
+    return lda.grid_scores(counts)
 
 
 @query("M3 M5 M6 S5")

@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 from feedback_lens.operators.topics.engine import (
     MODEL,
     TERM,
+    TOTAL,
     Chunk,
     ChunkedDocs,
     Statistics,
-    blend,
-    blended_rate,
+    blocks,
     chunk_docs,
     digamma,
     initial_state,
-    sweep,
+    learn_online,
+    with_totals,
 )
 from feedback_lens.schema import TOPIC_SEGMENT
 from feedback_lens.session import cut_lineage
@@ -46,7 +47,7 @@ def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class HdpStep:
-    """Expected topic words and expected stick use of a chunk."""
+    """Expected topic words and expected stick use of a batch, all reviews of about the same length side by side."""
 
     def __init__(self, doc_topics: int, alpha: float, gamma: float, eta: float):
         self.doc_topics, self.alpha, self.gamma, self.eta = doc_topics, alpha, gamma, eta
@@ -59,38 +60,52 @@ class HdpStep:
         corpus = log_sticks(use[:-1] + 1.0, later[1:] + self.gamma)
         words = np.zeros_like(chunk.vecs)
         sticks = np.zeros(topics)
-        for d in range(len(chunk.ids)):
-            span = slice(chunk.borders[d], chunk.borders[d + 1])
-            index, values = chunk.index[span], chunk.values[span]
+        for _, index, values in blocks(chunk, topics):
             to_corpus, to_doc = self._fit(log_beta[index], values, corpus)
-            sticks += to_corpus.sum(axis=0)
-            words[index] += (to_doc * values[:, None]) @ to_corpus
-        return [(TERM, chunk.terms, words), (MODEL, None, sticks[None, :])]
+            sticks += to_corpus.sum(axis=(0, 1))
+            inside = values > 0
+            expected = ((to_doc * values[:, :, None]) @ to_corpus)[inside]
+            order = np.argsort(index[inside], kind="stable")
+            present, first = np.unique(index[inside][order], return_index=True)
+            if len(present):
+                words[present] += np.add.reduceat(expected[order], first, axis=0)
+        return [(TERM, chunk.terms, words), (TOTAL, None, words.sum(axis=0)[None, :]), (MODEL, None, sticks[None, :])]
 
     def _fit(self, log_beta: np.ndarray, values: np.ndarray, corpus: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Coordinate ascent for one review: its topics onto corpus topics, its words onto its topics."""
-        k = self.doc_topics
-        to_doc = np.full((len(values), k), 1.0 / k)
-        own = log_sticks(np.ones(k - 1), np.full(k - 1, self.alpha))
-        weighted = log_beta * values[:, None]
-        last = None
+        """Coordinate ascent ``[review, …]``: topics of a review onto corpus topics, its words onto its topics.
+
+        Reviews are independent; each stops when its own bound has settled, and only the others go on.
+        """
+        n, k = len(values), self.doc_topics
+        all_to_corpus = np.zeros((n, k, len(corpus)))
+        all_to_doc = np.zeros((n, values.shape[1], k))
+        active = np.arange(n)
+        to_doc = np.full((n, values.shape[1], k), 1.0 / k)
+        own = np.repeat(log_sticks(np.ones(k - 1), np.full(k - 1, self.alpha))[None, :], n, axis=0)
+        weighted = log_beta * values[:, :, None]
+        last = np.full(n, np.inf)
         for step in range(DOC_STEPS):
             settled = step >= WARM_UP
-            to_corpus, log_to_corpus = _softmax(to_doc.T @ weighted + (corpus if settled else 0.0))
-            to_doc, log_to_doc = _softmax(log_beta @ to_corpus.T + (own if settled else 0.0))
-            load = to_doc.T @ values
-            a = 1.0 + load[:-1]
-            b = self.alpha + np.cumsum(load[::-1])[::-1][1:]
-            own = log_sticks(a, b)
+            to_corpus, log_to_corpus = _softmax(to_doc.transpose(0, 2, 1) @ weighted + (corpus if settled else 0.0))
+            to_doc, log_to_doc = _softmax(log_beta @ to_corpus.transpose(0, 2, 1) + (own[:, None, :] if settled else 0.0))
+            load = (values[:, None, :] @ to_doc)[:, 0, :]
+            later = np.cumsum(load[:, ::-1], axis=1)[:, ::-1]
+            own = log_sticks(1.0 + load[:, :-1], self.alpha + later[:, 1:])
+            present = (values > 0)[:, :, None]
             bound = (
-                np.sum((corpus - log_to_corpus) * to_corpus)
-                + np.sum((own - log_to_doc) * to_doc)
-                + np.sum(to_doc.T * (to_corpus @ weighted.T))
+                np.sum((corpus - log_to_corpus) * to_corpus, axis=(1, 2))
+                + np.sum((own[:, None, :] - log_to_doc) * to_doc * present, axis=(1, 2))
+                + np.sum(to_doc.transpose(0, 2, 1) * (to_corpus @ weighted.transpose(0, 2, 1)), axis=(1, 2))
             )
-            if last is not None and settled and abs(bound - last) <= DOC_TOLERANCE * abs(last):
-                break
+            all_to_corpus[active], all_to_doc[active] = to_corpus, to_doc
+            moving = ~(np.abs(bound - last) <= DOC_TOLERANCE * np.abs(last)) if settled and step else np.ones(len(active), bool)
             last = bound
-        return to_corpus, to_doc
+            if not moving.any():
+                break
+            if not moving.all():
+                active, last = active[moving], last[moving]
+                log_beta, values, weighted, to_doc, own = (x[moving] for x in (log_beta, values, weighted, to_doc, own))
+        return all_to_corpus, all_to_doc
 
 
 def fit_hdp(
@@ -100,9 +115,10 @@ def fit_hdp(
     doc_topics: int = DOC_TOPICS,
     passes: int = 1,
     seed: int = 0,
+    batch_size: int = BATCH_SIZE,
 ) -> tuple[ChunkedDocs, DataFrame]:
     """Fit every segment; the state holds topic words and one row of stick use per segment."""
-    docs = chunk_docs(counts, seg)
+    docs = chunk_docs(counts, seg, batch_size=batch_size)
     seg = docs.seg
     names = [F.col(name) for name in seg]
 
@@ -111,25 +127,16 @@ def fit_hdp(
         exponential = -F.log((bits + 0.5) / float(1 << 52))
         return exponential * F.col("n_docs") * 100.0 / (F.lit(float(topics)) * F.col("n_terms")) - ETA
 
-    start = initial_state(docs, F.transform(F.sequence(F.lit(1), F.lit(topics)), draw))
+    start = cut_lineage(initial_state(docs, F.transform(F.sequence(F.lit(1), F.lit(topics)), draw)))
     no_use = docs.sizes.select(
-        *seg,
-        F.lit(MODEL).alias("kind"),
-        F.lit(None).cast("string").alias("term"),
-        F.array_repeat(F.lit(0.0), topics).alias("vec"),
+        *seg, F.lit(MODEL).alias("kind"), F.lit("").alias("term"), F.array_repeat(F.lit(0.0), topics).alias("vec")
+    )
+    state = with_totals(start, seg).unionByName(no_use)
+    design = docs.sizes.select(
+        *seg, F.array_repeat(F.lit(DECAY), topics).alias("decay"), F.array_repeat(F.lit(0.0), topics).alias("eta")
     )
-    state = cut_lineage(start.unionByName(no_use))
     step = HdpStep(doc_topics, ALPHA, GAMMA, ETA)
-    n_batches = F.ceil(F.col("n_docs") / BATCH_SIZE)
-    for done in range(passes):
-        rate = blended_rate(n_batches, done, OFFSET, F.lit(DECAY))
-        rates = docs.sizes.select(
-            *seg,
-            F.array_repeat(rate, topics).alias("rho"),
-            F.array_repeat(F.lit(0.0), topics).alias("eta"),
-        )
-        state = cut_lineage(blend(state, sweep(docs, state, step, summed=False), docs.per_segment(rates), seg))
-    return docs, state
+    return docs, learn_online(docs, state, step, passes, OFFSET, design)
 
 
 def hdp_topics(docs: ChunkedDocs, state: DataFrame) -> DataFrame:

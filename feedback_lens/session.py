@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,41 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Written:
+    """A table written to the shared folder, to be removed once nothing reads it."""
+
+    def __init__(self, spark: SparkSession, path: str, df: DataFrame, table: str | None = None):
+        self.spark, self.path, self.df, self.table = spark, path, df, table
+
+    def remove(self) -> None:
+        if self.table is not None:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _new_path(spark: SparkSession, name: str) -> str:
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/stages/{name}"
+
+
+def written(df: DataFrame) -> Written:
+    """``df`` as Parquet in the shared folder: plans start from there, and the files go when they have been superseded."""
+    spark, name = df.sparkSession, uuid.uuid4().hex
+    path = _new_path(spark, name)
+    df.write.parquet(path)
+    return Written(spark, path, spark.read.schema(df.schema).parquet(path))
+
+
+def written_in_buckets(df: DataFrame, keys: Sequence[str], buckets: int, sort: Sequence[str] = ()) -> Written:
+    """``df`` as a table in buckets by ``keys``: a join or cogroup on them reads it again and again without a shuffle."""
+    spark, name = df.sparkSession, f"feedback_lens_{uuid.uuid4().hex}"
+    path = _new_path(spark, name)
+    writer = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*sort or keys)
+    writer.option("path", path).saveAsTable(name)
+    return Written(spark, path, spark.table(name), name)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan with fewer splits than cores one split per core; larger scans are left as they are.
 
