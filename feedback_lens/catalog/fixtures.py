@@ -173,7 +173,7 @@ def doc_topics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _escaped(col: Column) -> Column:
-    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("'", "&apos;")):
         col = F.replace(col, F.lit(plain), F.lit(entity))
     return col
 
@@ -213,7 +213,8 @@ def amazon_pages(spark: SparkSession, sf: str) -> DataFrame:
         '<i data-hook="review-star-rating" class="a-icon"><span>{rating}</span></i></div>'
         '<a data-hook="review-title" href="/r/{i}">Title {i}</a></div>'
         '<span data-hook="review-date" class="d">on {date}</span>'
-        '<span data-hook="review-body" class="b"><b>Body</b> {text}</span>{votes}</div>',
+        '<span data-hook="review-body" class="b"><span class="lead"><b>Body</b></span> <span>{text}</span><br></span>'
+        '<div class="votes"><div>{votes}</div></div></div>',
         i=i,
         rating=F.when(i % 50 == 0, "").otherwise(F.concat(F.col("rating").cast("int"), F.lit(".0 out of 5 stars"))),
         date=F.date_format("date", "MMMM d, yyyy"),
@@ -230,7 +231,11 @@ def amazon_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.sequence(F.lit(1).cast("long"), F.col("page_no") + 1),
         lambda n: F.concat(F.lit('<li class="page-button"><a href="#">'), n.cast("string"), F.lit("</a></li>")),
     )
-    tail = F.concat(F.lit('<div id="cm_cr-pagination_bar"><ul>'), F.array_join(numbers, ""), F.lit("</ul></div>"))
+    tail = F.concat(
+        F.lit('<div id="cm_cr-pagination_bar"><ul>'),
+        F.array_join(numbers, ""),
+        F.lit('</ul></div><div class="footer"><span class="cr-vote-text">77 people found this helpful</span></div>'),
+    )
     return _paged(reviews(spark, sf).withColumn("block", block), head, tail)
 
 

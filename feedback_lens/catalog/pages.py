@@ -21,11 +21,15 @@ HEADING = r"<h1[^>]*>([\s\S]*?)</h1>"
 ARTICLE = r"<article>([\s\S]*?)</article>"
 
 
+# The references that the given pages hold.
+REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+
+
 def _plain_sql(expr: str) -> str:
     out = f"regexp_replace({expr}, '<[^>]*>', '', 'g')"
-    for entity, plain in nz.ENTITIES:
+    for reference, plain in REFERENCES:
         quoted = plain.replace("'", "''")
-        out = f"replace({out}, '{entity}', '{quoted}')"
+        out = f"replace({out}, '{reference}', '{quoted}')"
     return out
 
 
@@ -167,7 +171,7 @@ def brand_from_product_page(spark: SparkSession, sf: str) -> DataFrame:
     count(*) FILTER (review_id % 50 <> 0) AS kept FROM reviews"""),
 )
 def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = pg.extract_blocks(fx.amazon_pages(spark, sf), AMAZON.block, AMAZON.fields)
+    rows = pg.read_blocks(fx.amazon_pages(spark, sf), AMAZON.block, AMAZON.fields)
     rated = rows.withColumn("rating", nz.parse_rating(F.col("rating_text")))
     bad = F.col("rating").isNull()
     kept = pg.valid_rows(rated, ["rating"]).agg(F.count(F.lit(1)).alias("kept")).withColumn("one", F.lit(1))

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from html.entities import name2codepoint
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import StringType
+
+from feedback_lens.functions.markup import references
 
 # Accepted date layouts, tried in order.
 DATE_FORMATS = ("yyyy-MM-dd", "MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "d MMM yyyy", "M/d/yyyy")
 
-# Named HTML entities whose text is set here; the other names come from the HTML standard.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
-
 
 def parse_rating(col: Column, source: str | None = None) -> Column:
     """Rating text to number.
@@ -79,24 +80,17 @@ def brand_from_name(col: Column) -> Column:
     return F.trim(F.split(col, "-")[0])
 
 
+@arrow_udf(StringType())
+def _unescaped(texts: pa.Array) -> pa.Array:
+    return pa.array([None if text is None else references(text) for text in texts.to_pylist()], pa.string())
+
+
 def decode_entities(col: Column) -> Column:
-    """Named and numeric character references, each decoded once; what is none stays as it is."""
-    names = {name: chr(point) for name, point in name2codepoint.items()} | {entity[1:-1]: plain for entity, plain in ENTITIES}
-    texts = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    pieces = F.split(col, "&", -1)
-
-    def decode(piece: Column) -> Column:
-        decimal = F.regexp_extract(piece, "^#([0-9]{1,7});", 1).try_cast("int")
-        hexadecimal = F.conv(F.nullif(F.regexp_extract(piece, "^#[xX]([0-9a-fA-F]{1,6});", 1), F.lit("")), 16, 10).try_cast("int")
-        point = F.coalesce(decimal, hexadecimal)
-        valid = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, point).otherwise(0xFFFD)), 8, "0")), "UTF-32")
-        name = F.nullif(F.regexp_extract(piece, "^(#39|[A-Za-z][A-Za-z0-9]*);", 1), F.lit(""))
-        text = F.coalesce(F.try_element_at(texts, name), F.when(point.isNotNull(), char))
-        return F.coalesce(F.concat(text, F.regexp_replace(piece, "^[^;]*;", "")), F.concat(F.lit("&"), piece))
-
-    rest = F.transform(F.slice(pieces, 2, F.size(pieces)), decode)
-    return F.when(F.contains(col, F.lit("&")), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(col)
+    """Character references of the HTML standard, each decoded once: all names, with or without their semicolon, and numbers.
+
+    A name without semicolon is the longest one that fits; what is no reference stays as it is.
+    """
+    return _unescaped(col)
 
 
 def strip_tags(col: Column) -> Column:

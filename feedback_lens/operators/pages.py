@@ -1,16 +1,23 @@
 """Extraction of keys, attributes and reviews from stored pages.
 
-Patterns are data: every function takes them as arguments, and ``plans.corpus`` holds one profile per shop.
+Elements and patterns are data: every function takes them as arguments, and ``plans.corpus`` holds one profile per shop. Values and blocks are
+read by a stack of tags (``functions.markup``), one page at a time; keys, page numbers and loose attributes by patterns in the JVM.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from feedback_lens.functions.markup import Page, Path
 from feedback_lens.functions.normalize import strip_tags
+from feedback_lens.session import bounded_batches
+
+PAGES_AT_ONCE = 16
 
 
 def extract_keys(pages: DataFrame, pattern: str, group: int = 1) -> DataFrame:
@@ -54,41 +61,89 @@ def extract_attrs(pages: DataFrame, profile: Mapping[str, str], keep: Sequence[s
     return pages.select(*keep, *attrs)
 
 
-def attach_brand(reviews: DataFrame, product_pages: DataFrame, pattern: str) -> DataFrame:
+def attach_brand(reviews: DataFrame, product_pages: DataFrame, brand: Path) -> DataFrame:
     """Brand taken from the separate product page of each key."""
-    brand = extract_attrs(product_pages, {"brand": pattern}, keep=["key"])
-    brands = brand.groupBy("key").agg(F.min("brand").alias("brand"))
+    found = read_values(product_pages, {"brand": brand}, keep=["key"])
+    brands = found.groupBy("key").agg(F.min("brand").alias("brand"))
     return reviews.drop("brand").join(brands, "key", "left")
 
 
-def extract_blocks(
-    pages: DataFrame, opening: str, fields: Mapping[str, str], keep: Sequence[str] = ("page_id",)
+PageRows = Callable[[Page], list[list[str | None]]]
+
+
+def _read_pages(pages: DataFrame, keep: Sequence[str], names: Sequence[str], rows_of: PageRows, numbered: bool) -> DataFrame:
+    """Rows that each page gives, beside what is kept of it; a page without markup gives none."""
+    bounded_batches(pages.sparkSession)
+    fields = [pages.schema[name] for name in keep]
+    fields += [T.StructField("pos", T.IntegerType())] if numbered else []
+    schema = T.StructType(fields + [T.StructField(name, T.StringType()) for name in names])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, PAGES_AT_ONCE):
+                part = batch.slice(low, PAGES_AT_ONCE)
+                places, numbers, rows = [], [], []
+                for place, source in enumerate(part.column("html").to_pylist()):
+                    found = [] if source is None else rows_of(Page(source))
+                    places += [place] * len(found)
+                    numbers += range(len(found))
+                    rows += found
+                kept = part.select(list(keep)).take(pa.array(places, pa.int64()))
+                columns = [*kept.columns, *([pa.array(numbers, pa.int32())] if numbered else [])]
+                columns += [pa.array([row[i] for row in rows], pa.string()) for i in range(len(names))]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return pages.select(*keep, "html").mapInArrow(read, schema)
+
+
+def read_values(pages: DataFrame, values: Mapping[str, Path], keep: Sequence[str] = ("page_id",)) -> DataFrame:
+    """One row per page: the first element of each path, trimmed; null where the page has none or it is empty."""
+    read = _read_pages(pages, keep, list(values), lambda page: [[page.first(wanted) for wanted in values.values()]], False)
+    return read.withColumns({name: F.nullif(F.trim(name), F.lit("")) for name in values})
+
+
+def read_blocks(
+    pages: DataFrame,
+    block: Path,
+    fields: Mapping[str, Path],
+    keep: Sequence[str] = ("page_id",),
+    values: Mapping[str, Path] | None = None,
 ) -> DataFrame:
-    """One row per review block, with the first match of each field inside the block.
+    """One row per review block: the first element of each field inside the block, null where it has none.
 
-    A block runs from its opening tag to the next one, so markup nested inside a block needs no balancing.
+    A block ends where its element does, however its content is nested; what follows on the page belongs to no block. ``values`` are read
+    once per page.
     """
-    blocks = F.split("html", opening)
-    blocks = F.slice(blocks, 2, F.greatest(F.size(blocks) - 1, F.lit(0)))
-    rows = pages.select(*keep, F.posexplode(blocks).alias("pos", "block"))
-    values = [
-        F.when(F.rlike("block", F.lit(pattern)), strip_tags(F.regexp_extract("block", pattern, 1))).alias(name)
-        for name, pattern in fields.items()
-    ]
-    return rows.select(*keep, "pos", *values)
+    values = values or {}
+
+    def rows_of(page: Page) -> list[list[str | None]]:
+        of_page = [page.first(wanted) for wanted in values.values()]
+        out = []
+        for found in page.matches(block):
+            inside = page.inside(found)
+            out.append(of_page + [page.first(wanted, inside) for wanted in fields.values()])
+        return out
 
+    return _read_pages(pages, keep, [*values, *fields], rows_of, True)
 
-def extract_zipped(
-    pages: DataFrame, fields: Mapping[str, str], driver: str, keep: Sequence[str] = ("page_id",)
+
+def read_lists(
+    pages: DataFrame,
+    fields: Mapping[str, Path],
+    driver: str,
+    keep: Sequence[str] = ("page_id",),
+    values: Mapping[str, Path] | None = None,
 ) -> DataFrame:
     """Separate lists of a page matched by position; as many rows as the driver list has, incomplete rows dropped."""
-    lists = [F.regexp_extract_all("html", F.lit(pattern), F.lit(1)).alias(name) for name, pattern in fields.items()]
-    zipped = pages.select(*keep, *lists)
-    count = F.size(driver)
-    zipped = zipped.select(*keep, count.alias("n"), F.posexplode(F.arrays_zip(*fields)).alias("pos", "row"))
-    zipped = zipped.filter(F.col("pos") < F.col("n"))
-    complete = zipped.select(*keep, "pos", *[strip_tags(F.col(f"row.{name}")).alias(name) for name in fields])
-    return complete.dropna(subset=list(fields))
+    values = values or {}
+
+    def rows_of(page: Page) -> list[list[str | None]]:
+        of_page = [page.first(wanted) for wanted in values.values()]
+        lists = {name: [page.value(found, wanted) for found in page.matches(wanted)] for name, wanted in fields.items()}
+        count = len(lists[driver])
+        return [of_page + [found[i] if i < len(found) else None for found in lists.values()] for i in range(count)]
+
+    return _read_pages(pages, keep, [*values, *fields], rows_of, True).dropna(subset=list(fields))
 
 
 def valid_rows(df: DataFrame, required: Sequence[str], rejects: Observation | None = None) -> DataFrame:

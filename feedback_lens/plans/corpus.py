@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from feedback_lens.functions.markup import Element, Path, path
 from feedback_lens.functions.normalize import (
     brand_from_name,
     clean_name,
@@ -18,27 +19,22 @@ from feedback_lens.functions.normalize import (
     parse_usefulness,
     with_source,
 )
-from feedback_lens.operators.pages import attach_brand, extract_attrs, extract_blocks, extract_zipped, valid_rows
+from feedback_lens.operators.pages import attach_brand, read_blocks, read_lists, valid_rows
 from feedback_lens.operators.segments import conform
 
 
 @dataclass(frozen=True)
 class ShopProfile:
-    """Where a shop's pages hold what: patterns only, so a new shop is a new profile."""
+    """Where a shop's pages hold what: elements and patterns only, so a new shop is a new profile."""
 
     name: str
-    attrs: Mapping[str, str]
-    fields: Mapping[str, str]
-    block: str | None = None
+    values: Mapping[str, Path]
+    fields: Mapping[str, Path]
+    block: Path | None = None
     driver: str | None = None
     key_pattern: str = ""
     page_number: str = ""
-    brand: str = ""
-
-
-def _element(tag: str, attribute: str) -> str:
-    """Inner markup of the first element with an attribute."""
-    return rf"<{tag}[^>]*{attribute}[^>]*>([\s\S]*?)</{tag}>"
+    brand: Path | None = None
 
 
 # Markup of the three shops.
@@ -46,39 +42,39 @@ AMAZON = ShopProfile(
     name="Amazon",
     key_pattern=r'<li[^>]*data-asin="([^"]*)"',
     page_number=r'<li class="page-button"[^>]*>(?:<[^>]*>)*([0-9]+)',
-    attrs={"name": _element("span", 'id="productTitle"'), "brand": _element("a", 'id="bylineInfo"')},
-    block=r'<div[^>]*data-hook="review"[^>]*>',
+    values={"name": path(Element("span", "id", "productTitle")), "brand": path(Element("a", "id", "bylineInfo"))},
+    block=path(Element("div", "data-hook", "review")),
     fields={
-        "rating_text": _element("i", 'data-hook="review-star-rating"'),
-        "title": _element("a", 'data-hook="review-title"'),
-        "date_text": _element("span", 'data-hook="review-date"'),
-        "body": _element("span", 'data-hook="review-body"'),
-        "votes": _element("span", 'class="[^"]*cr-vote-text[^"]*"'),
+        "rating_text": path(Element("i", "data-hook", "review-star-rating")),
+        "title": path(Element("a", "data-hook", "review-title")),
+        "date_text": path(Element("span", "data-hook", "review-date")),
+        "body": path(Element("span", "data-hook", "review-body")),
+        "votes": path(Element("span", "class", word="cr-vote-text")),
     },
 )
 BEST_BUY = ShopProfile(
     name="Best Buy",
     key_pattern=r'<h4[^>]*class="sku-header"[^>]*>[^<]*<a[^>]*href="([^"]*)"',
-    attrs={"name": _element("h2", 'class="product-title"')},
-    block=r'<div[^>]*class="col-xs-12 col-md-9"[^>]*>',
+    values={"name": path(Element("h2", "class", "product-title"))},
+    block=path(Element("div", "class", "col-xs-12 col-md-9")),
     fields={
-        "rating_text": _element("p", 'class="sr-only"'),
-        "date_text": _element("time", 'class="submission-date"'),
-        "body": _element("p", 'class="pre-white-space"'),
+        "rating_text": path(Element("p", "class", "sr-only")),
+        "date_text": path(Element("time", "class", "submission-date")),
+        "body": path(Element("p", "class", "pre-white-space")),
     },
 )
 WALMART = ShopProfile(
     name="Walmart",
     key_pattern=r'<a[^>]*class="product-title-link[^"]*"[^>]*href="([^"]*)"',
     page_number=r'aria-label="[^"]*?([0-9]+) [^" ]*"',
-    attrs={"name": r'<div[^>]*class="product-summary-wrapper"[^>]*>[\s\S]*?<h1[^>]*>([\s\S]*?)</h1>'},
-    brand=_element("span", 'itemprop="brand"'),
+    values={"name": path(Element("div", "class", "product-summary-wrapper"), Element("h1"))},
+    brand=path(Element("span", "itemprop", "brand")),
     driver="rating_text",
     fields={
-        "title": _element("div", 'itemprop="name"'),
-        "rating_text": r'<div[^>]*class="stars stars-small"[^>]*>\s*<span[^>]*alt="([^"]*)"',
-        "body": _element("div", 'class="review-body-text"'),
-        "date_text": _element("span", 'itemprop="datePublished"'),
+        "title": path(Element("div", "itemprop", "name")),
+        "rating_text": path(Element("div", "class", "stars stars-small"), Element("span", "alt"), take="alt"),
+        "body": path(Element("div", "class", "review-body-text")),
+        "date_text": path(Element("span", "itemprop", "datePublished")),
     },
 )
 
@@ -114,17 +110,16 @@ def shop_reviews(
 
     Every step works on one page or one review, so the only shuffle is the optional brand lookup.
     """
-    keep = ["page_id", "key", "name"] + (["brand"] if "brand" in profile.attrs else []) + ["html"]
-    described = extract_attrs(pages, profile.attrs, keep=["page_id", "key", "html"]).select(*keep)
-    keep = [c for c in keep if c != "html"]
+    keep = ["page_id", "key"]
     if profile.block is not None:
-        rows = extract_blocks(described, profile.block, profile.fields, keep)
+        rows = read_blocks(pages, profile.block, profile.fields, keep, profile.values)
     else:
-        rows = extract_zipped(described, profile.fields, profile.driver, keep)
+        rows = read_lists(pages, profile.fields, profile.driver, keep, profile.values)
+    rows = rows.withColumns({name: F.nullif(F.trim(name), F.lit("")) for name in profile.values})
     rows = _typed(rows, profile, as_of)
-    if profile.brand and product_pages is not None:
+    if profile.brand is not None and product_pages is not None:
         rows = attach_brand(rows, product_pages, profile.brand)
-    elif "brand" not in profile.attrs:
+    elif "brand" not in profile.values:
         rows = rows.withColumn("brand", brand_from_name(F.col("name")))
     rows = rows.withColumn("review_id", F.xxhash64(F.lit(profile.name), "page_id", "pos"))
     return conform(valid_rows(rows, REQUIRED, rejects))

@@ -42,6 +42,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Arrow batches end by bytes, so that long texts and pages cannot pile up in one batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 class Written:
     """A table written to the shared folder, to be removed once nothing reads it."""
 

@@ -3,7 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from feedback_lens.functions import normalize as nz
-from feedback_lens.operators.pages import extract_blocks, extract_zipped, last_page, url_tail, valid_rows
+from feedback_lens.functions.markup import Element, path
+from feedback_lens.operators.pages import last_page, read_blocks, read_lists, url_tail, valid_rows
 
 
 def one(spark, value, fn):
@@ -41,6 +42,7 @@ def test_dates_below_a_day(spark):
 def test_entities(spark):
     text = "&#8217;&#x27;&eacute;&amp;lt;&lt;&bogus;&#0;&#x1F600; a & b &nbsp;;"
     assert one(spark, text, nz.strip_tags) == "’'é&lt;<&bogus;\ufffd😀 a & b  ;"
+    assert one(spark, "&apos;&check;&copy 1 &copycat &notin; &notit &AMP", nz.strip_tags) == "'✓© 1 ©cat ∉ ¬it &"
     assert one(spark, None, nz.strip_tags) is None and one(spark, "&", nz.strip_tags) == "&"
 
 
@@ -53,13 +55,14 @@ def test_text_fields(spark):
 def test_blocks_and_lists(spark):
     html = '<div class="r"><i>1</i><div>x</div></div><div class="r"><b>no</b></div>'
     pages = spark.createDataFrame([(1, html)], "page_id long, html string")
-    rows = extract_blocks(pages, '<div class="r">', {"n": "<i>([^<]*)</i>"}).orderBy("pos").collect()
+    block, field = path(Element("div", "class", "r")), {"n": path(Element("i"))}
+    rows = read_blocks(pages, block, field).orderBy("pos").collect()
     assert [r.n for r in rows] == ["1", None]
-    assert valid_rows(extract_blocks(pages, '<div class="r">', {"n": "<i>([^<]*)</i>"}), ["n"]).count() == 1
+    assert valid_rows(read_blocks(pages, block, field), ["n"]).count() == 1
     lists = spark.createDataFrame([(1, "<i>1</i><i>2</i><b>x</b><b>y</b><b>z</b><u>p</u>")], "page_id long, html string")
-    fields = {"i": "<i>([^<]*)</i>", "b": "<b>([^<]*)</b>"}
-    assert extract_zipped(lists, fields, "i").count() == 2
-    assert extract_zipped(lists, {**fields, "u": "<u>([^<]*)</u>"}, "i").count() == 1
+    fields = {"i": path(Element("i")), "b": path(Element("b"))}
+    assert read_lists(lists, fields, "i").count() == 2
+    assert read_lists(lists, {**fields, "u": path(Element("u"))}, "i").count() == 1
 
 
 def test_last_page_default(spark):
