@@ -9,10 +9,12 @@ from feedback_lens.catalog import fixtures as fx
 from feedback_lens.catalog.registry import query, sql, view
 from feedback_lens.catalog.views import SEG
 from feedback_lens.operators import rows as rw
-from feedback_lens.operators.bow import attach_idf, count_vectors, idf_table
+from feedback_lens.operators.bow import attach_idf, bow, count_vectors, idf_table
 from feedback_lens.operators.coherence import cv_coherence, embedding_coherence, keyword_pairs
 from feedback_lens.operators.segments import polarity
+from feedback_lens.operators.topics import kmeans as km
 from feedback_lens.operators.topics import lda
+from feedback_lens.operators.topics.engine import chunk_docs
 from feedback_lens.plans import topics as tp
 from feedback_lens.plans.prepare import clean_legacy, cv_tokens, prepare, raw_words
 from feedback_lens.schema import TOPIC_SEGMENT
@@ -242,6 +244,60 @@ def lsa_report(spark: SparkSession, sf: str) -> DataFrame:
     return tp.lsa_table(_legacy(spark, sf))
 
 
+# k-means++ on word counts: draws by arithmetic, three centres, then the nearest centre of every review.
+DRAW = "-ln(((review_id * 7919 + {step} * 104729) % 100003 + 0.5) / 100003)"
+view("km_points", "SELECT review_type, brand, review_id, w AS term, CAST(count(*) AS DOUBLE) AS x FROM seg_tokens GROUP BY ALL", "seg_tokens")
+view("km_lengths", "SELECT review_type, brand, review_id, sum(x * x) AS length FROM km_points GROUP BY ALL", "km_points")
+view(
+    "km_first",
+    f"""SELECT review_type, brand, min({{'key': {DRAW.format(step=0)}, 'review_id': review_id}}).review_id AS review_id FROM km_lengths GROUP BY ALL""",
+    "km_lengths",
+)
+
+
+def _km_gaps(centre: str) -> str:
+    return f"""SELECT l.review_type, l.brand, l.review_id, l.length + c.length - 2 * coalesce(o.overlap, 0) AS gap FROM km_lengths l
+      JOIN {centre} f ON (f.review_type, f.brand) = (l.review_type, l.brand) JOIN km_lengths c
+        ON (c.review_type, c.brand, c.review_id) = (f.review_type, f.brand, f.review_id)
+      LEFT JOIN (SELECT p.review_type, p.brand, p.review_id, sum(p.x * q.x) AS overlap FROM km_points p JOIN {centre} f
+        ON (f.review_type, f.brand) = (p.review_type, p.brand) JOIN km_points q ON (q.review_type, q.brand, q.review_id, q.term) =
+        (f.review_type, f.brand, f.review_id, p.term) GROUP BY ALL) o
+        ON (o.review_type, o.brand, o.review_id) = (l.review_type, l.brand, l.review_id)"""
+
+
+view("km_gap1", _km_gaps("km_first"), "km_lengths km_first km_points")
+view(
+    "km_second",
+    f"SELECT review_type, brand, min({{'key': {DRAW.format(step=1)} / gap, 'review_id': review_id}}).review_id AS review_id FROM km_gap1 WHERE gap > 0 GROUP BY ALL",
+    "km_gap1",
+)
+view("km_gap2", _km_gaps("km_second"), "km_lengths km_second km_points")
+view(
+    "km_third",
+    f"""SELECT review_type, brand, min({{'key': {DRAW.format(step=2)} / least(a.gap, b.gap), 'review_id': review_id}}).review_id AS review_id
+    FROM km_gap1 a JOIN km_gap2 b USING (review_type, brand, review_id) WHERE least(a.gap, b.gap) > 0 GROUP BY ALL""",
+    "km_gap1 km_gap2",
+)
+view("km_gap3", _km_gaps("km_third"), "km_lengths km_third km_points")
+
+
+@query(
+    "M11 O2",
+    sql(
+        "km_gap1 km_gap2 km_gap3",
+        """SELECT review_type, brand, review_id, CAST(CASE WHEN a.gap <= b.gap AND a.gap <= c.gap THEN 1 WHEN b.gap <= c.gap THEN 2 ELSE 3 END AS INT) AS topic,
+        least(a.gap, b.gap, c.gap) AS gap FROM km_gap1 a JOIN km_gap2 b USING (review_type, brand, review_id)
+        JOIN km_gap3 c USING (review_type, brand, review_id)""",
+    ),
+)
+def kmeans_seeds(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearest of three k-means++ centres, for every review with words; ties go to the earlier centre."""
+    seg = ["review_type", "brand"]
+    docs = chunk_docs(bow(fx.segment_docs(spark, sf), seg), seg)
+    state = km.first_centres(docs, 3, lambda step: F.expr(DRAW.format(step=step)))
+    return km.cluster_gaps(docs, state)
+
+
 @query("M11 O2")
 def kmeans_report(spark: SparkSession, sf: str) -> DataFrame:
     words = raw_words(polarity(fx.reviews(spark, sf), "strict"))
