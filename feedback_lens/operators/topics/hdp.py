@@ -18,8 +18,9 @@ from feedback_lens.operators.topics.engine import (
     blocks,
     chunk_docs,
     digamma,
-    initial_state,
+    drawn_state,
     learn_online,
+    uniforms,
     with_totals,
 )
 from feedback_lens.schema import TOPIC_SEGMENT
@@ -120,14 +121,11 @@ def fit_hdp(
     """Fit every segment; the state holds topic words and one row of stick use per segment."""
     docs = chunk_docs(counts, seg, batch_size=batch_size)
     seg = docs.seg
-    names = [F.col(name) for name in seg]
-
-    def draw(i):
-        bits = F.pmod(F.xxhash64(F.lit(seed), *names, F.col("term"), i), F.lit(1 << 52))
-        exponential = -F.log((bits + 0.5) / float(1 << 52))
-        return exponential * F.col("n_docs") * 100.0 / (F.lit(float(topics)) * F.col("n_terms")) - ETA
-
-    start = cut_lineage(initial_state(docs, F.transform(F.sequence(F.lit(1), F.lit(topics)), draw)))
+    terms = docs.vocabulary.withColumn("width", F.lit(topics))
+    drawn = drawn_state(terms, seg, seed, lambda hashes, width: -np.log(uniforms(hashes, width)))
+    scale = F.col("n_docs") * 100.0 / (F.lit(float(topics)) * F.col("n_terms"))
+    sized = drawn.join(docs.per_segment(docs.sizes.select(*seg, scale.alias("scale"))), seg)
+    start = cut_lineage(sized.select(*seg, "kind", "term", F.expr(f"transform(vec, x -> x * scale - {ETA!r}D)").alias("vec")))
     no_use = docs.sizes.select(
         *seg, F.lit(MODEL).alias("kind"), F.lit("").alias("term"), F.array_repeat(F.lit(0.0), topics).alias("vec")
     )
