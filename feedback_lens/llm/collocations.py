@@ -34,7 +34,7 @@ from feedback_lens.llm.common import arrow_stream, saved_table
 
 FILTER_BITS = 1 << 25
 #: Bytes of text a task counts together, and bytes of a text that it splits at a time.
-BLOCK_BYTES, SLICE_BYTES = 24 << 20, 4 << 20
+BLOCK_BYTES, SLICE_BYTES = 12 << 20, 2 << 20
 SALTS = 16
 #: Pairs whose score sets the first threshold, per phrase wanted; further thresholds take this many times as many.
 GUESS, FURTHER = 2, 8
@@ -160,27 +160,32 @@ class Block:
             return
         mask = np.uint64(8 * len(filters.frequent) - 1)
         start = np.uint64(self.hash(lang.encode(), 42))
-        known = np.flatnonzero(np.bincount(numbers, minlength=len(hashes)))
         if size == 2:
             may = np.zeros(len(hashes), bool)
-            may[known] = _has(filters.frequent, ((hashes[known] ^ start) & mask).astype(np.int64))
+            seen = np.flatnonzero(np.bincount(numbers, minlength=len(hashes)))
+            may[seen] = _has(filters.frequent, ((hashes[seen] ^ start) & mask).astype(np.int64))
             may[0] = False
             at = np.flatnonzero(may[numbers[:-1]] & may[numbers[1:]])
         else:
             at = self._grown(numbers, hashes, start, mask, size, filters)
         if not len(at):
             return
-        code = numbers[at].astype(np.int64)
-        for place in range(1, size):  # pairs, then pairs with the next word, and so on
+        code, shorter = numbers[at].astype(np.int64), []
+        for place in range(1, size):  # pairs, then numbers of pairs with the next word, and so on
             if place > 1:
-                _, code = np.unique(code, return_inverse=True)
+                known, code = np.unique(code, return_inverse=True)
+                shorter.append(known)
             code = code << 32 | numbers[at + place]
-        _, first, found = np.unique(code, return_index=True, return_counts=True)
-        del code
-        for low in range(0, len(first), 1 << 18):
-            rows = at[first[low : low + (1 << 18)]]
-            words = [listed.take(pa.array(numbers[rows + place])) for place in range(size)]
-            yield self._rows(lang, pc.binary_join_element_wise(*words, " "), found[low : low + (1 << 18)])
+        del at
+        code, found = np.unique(code, return_counts=True)
+        for low in range(0, len(code), 1 << 17):
+            part, words = code[low : low + (1 << 17)], []
+            for known in reversed([None, *shorter]):
+                words.append(listed.take(pa.array(part & 0xFFFFFFFF)))
+                part = part >> 32
+                part = known[part] if known is not None else part
+            words.append(listed.take(pa.array(part)))
+            yield self._rows(lang, pc.binary_join_element_wise(*reversed(words), " "), found[low : low + (1 << 17)])
 
     def _grown(self, numbers, hashes, start, mask, size: int, filters: Filters) -> np.ndarray:
         """Places where a phrase of ``size`` words may count, by its two parts of one word less."""
