@@ -207,9 +207,12 @@ def _prepared(spark: SparkSession, sf: str, seg=TOPIC_SEGMENT) -> DataFrame:
     return prepare(fx.reviews(spark, sf), fx.lexicon(spark, sf), fx.stopwords(spark), seg, fx.YEARS)
 
 
-def _legacy(spark: SparkSession, sf: str) -> DataFrame:
+def _legacy(spark: SparkSession, sf: str, spelling: bool = False) -> DataFrame:
+    """Reviews as the older models take them: names of brands are stop words; with ``spelling``, words are corrected and numbers dropped."""
     strict = polarity(fx.reviews(spark, sf), "strict")
-    return clean_legacy(strict, fx.stopwords(spark), fx.lexicon(spark, sf))
+    brands = strict.select(F.lower("brand").alias("w")).distinct()
+    known = fx.word_counts(spark, sf).filter("n >= 5") if spelling else None
+    return clean_legacy(strict, fx.stopwords(spark).unionByName(brands), fx.lexicon(spark, sf), spelling=known, drop_digits=spelling)
 
 
 @query("M1 M4")
@@ -306,8 +309,8 @@ def kmeans_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("M12 M13 M8")
 def fixed_lda_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Topics for two to five topics per brand and polarity, with the coherence of each model."""
-    return tp.fixed_lda_table(_legacy(spark, sf))
+    """Topics for two to five topics per brand and polarity out of corrected words, with the coherence of each model."""
+    return tp.fixed_lda_table(_legacy(spark, sf, spelling=True))
 
 
 @query("M14")

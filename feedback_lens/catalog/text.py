@@ -145,36 +145,40 @@ def similarity_lemmas(spark: SparkSession, sf: str) -> DataFrame:
 view("dictionary", "SELECT w, n FROM word_counts WHERE n >= 5", "word_counts")
 view("misspelt", "SELECT w FROM word_counts WHERE n = 1", "word_counts")
 view(
-    "one_edit",
-    """WITH d AS (SELECT w, n, unnest(list_distinct(list_append(list_transform(range(1, length(w) + 1),
-         lambda i: substr(w, 1, i - 1) || substr(w, i + 1)), w))) AS k FROM dictionary),
-       m AS (SELECT w, unnest(list_distinct(list_append(list_transform(range(1, length(w) + 1),
-         lambda i: substr(w, 1, i - 1) || substr(w, i + 1)), w))) AS k FROM misspelt)
-       SELECT m.w, arg_min(d.w, (levenshtein(translate(m.w, 'ß', '0'), translate(d.w, 'ß', '0')), -d.n, d.w)) AS corrected FROM m JOIN d USING (k)
-       WHERE levenshtein(translate(m.w, 'ß', '0'), translate(d.w, 'ß', '0')) <= 1 GROUP BY m.w""",
+    "two_edits",
+    """SELECT m.w, arg_min(d.w, (e, -d.n, d.w)) AS corrected FROM (SELECT m.w, d.w AS c, d.n,
+         levenshtein(translate(m.w, 'ß', '0'), translate(d.w, 'ß', '0')) AS e FROM misspelt m JOIN dictionary d
+         ON length(d.w) BETWEEN length(m.w) - 2 AND length(m.w) + 2) x JOIN dictionary d ON d.w = x.c JOIN misspelt m ON m.w = x.w
+       WHERE e <= 2 GROUP BY m.w""",
     "dictionary misspelt",
 )
 
 
-@query("E13", sql("one_edit", "SELECT w, corrected FROM one_edit"))
+@query("E13", sql("two_edits", "SELECT w, corrected FROM two_edits"))
 def spelling_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Corrections at distance 1 of every word seen once, against the words seen at least five times."""
+    """Corrections at distance 2 of every word seen once, against the words seen at least five times."""
     counts = fx.word_counts(spark, sf)
-    return correction_table(counts.filter("n = 1"), counts.filter("n >= 5"), distance=1)
+    return correction_table(counts.filter("n = 1"), counts.filter("n >= 5"))
 
 
 @query(
     "E13",
-    sql("tokens dictionary misspelt", """SELECT t.review_id, count(*) AS n, count(*) FILTER (d.w IS NOT NULL) AS known
-    FROM tokens t LEFT JOIN dictionary d ON d.w = t.w GROUP BY t.review_id"""),
+    sql("tokens dictionary misspelt two_edits", """SELECT t.review_id, count(*) AS n, count(*) FILTER (d.w IS NOT NULL) AS known,
+    string_agg(coalesce(e.corrected, t.w), ' ' ORDER BY t.pos) AS tokens FROM (SELECT * FROM tokens SEMI JOIN (
+      SELECT w FROM dictionary UNION ALL SELECT w FROM misspelt) k ON k.w = tokens.w) t
+    LEFT JOIN dictionary d ON d.w = t.w LEFT JOIN two_edits e ON e.w = t.w GROUP BY t.review_id"""),
 )
 def spelling_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    """Known words before correction, next to the full length after it: correction never adds or drops a word."""
-    long = fx.tokens(spark, sf)
-    freq = fx.word_counts(spark, sf).filter("n >= 5")
-    corrected = correct_spelling(long.withColumn("seen", F.col("w")), freq, distance=1)
+    """Words seen once or at least five times, corrected at distance 2: their number, the known ones before, and the text after."""
+    counts = fx.word_counts(spark, sf)
+    freq = counts.filter("n >= 5")
+    long = fx.tokens(spark, sf).join(counts.filter("n = 1 OR n >= 5").select("w"), "w", "left_semi")
+    corrected = correct_spelling(long.withColumn("seen", F.col("w")), freq)
     known = corrected.join(freq.select(F.col("w").alias("seen"), F.lit(1).alias("hit")), "seen", "left")
-    return known.groupBy("review_id").agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("known"))
+    words = F.transform(F.sort_array(F.collect_list(F.struct("pos", "w"))), lambda s: s["w"])
+    return known.groupBy("review_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("hit").alias("known"), F.array_join(words, " ").alias("tokens")
+    )
 
 
 @query(

@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedback_lens.functions.tokens import split_punctuation, tokenize_similarity
-from feedback_lens.functions.vectors import dot, length_of_sum, mean_of, norm
+from feedback_lens.functions.vectors import mean_of
+from feedback_lens.operators.blocked import best_products
 from feedback_lens.operators.lexicon import explode_tokens, tag_tokens
 from feedback_lens.operators.phrases import PHRASE_TYPES, gather_tagged, with_phrases
+from feedback_lens.session import written
 
 SCORE_DIGITS = 9
-MAX_BROADCAST_HYPOTHESES = 10_000
 
 
 def attach_vectors(words: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -77,8 +78,7 @@ def analyze_hypothesis(spark: SparkSession, hypotheses: Sequence[str], lexicon:
         "hypothesis",
         F.explode(split_punctuation(tokenize_similarity(F.col("hypothesis")))).alias("w"),
     )
-    needed = F.broadcast(words.select("w").distinct())
-    small_lexicon = lexicon.join(needed, "w", "left_semi")
+    small_lexicon = lexicon.join(words.select("w").distinct(), "w", "left_semi")
     tagged = tag_text(given, "hypothesis", small_lexicon, "hypothesis")
     phrases = with_phrases(gather_tagged(tagged, "hypothesis", "w"))
     most = F.greatest(*[F.size(f"{kind}_phrases") for kind in PHRASE_TYPES])
@@ -91,12 +91,9 @@ def analyze_hypothesis(spark: SparkSession, hypotheses: Sequence[str], lexicon:
 
 
 def pair_phrases(review_phrases: DataFrame, hypotheses: DataFrame) -> DataFrame:
-    """Review phrases matched with the hypothesis phrases of the same kind, per hypothesis.
-
-    The hypothesis side holds what a user typed in; its size is checked by ``similarity_table``.
-    """
+    """Review phrases matched with the hypothesis phrases of the same kind, per hypothesis: for showing pairs, not for scoring them."""
     phrases = hypotheses.select("hypothesis", "phrase_type", F.explode("phrases").alias("hypothesis_phrase"))
-    return review_phrases.join(F.broadcast(phrases), "phrase_type")
+    return review_phrases.join(phrases, "phrase_type")
 
 
 def phrase_scores(
@@ -107,43 +104,20 @@ def phrase_scores(
 ) -> DataFrame:
     """``(phrase_type, phrase, hypothesis, score)``: best cosine against the hypothesis phrases.
 
-    Works on distinct phrases, so a phrase shared by a third of all reviews is scored once. The product with a
-    hypothesis is taken per distinct word and added up per phrase, so only the length needs the phrase vector.
+    Works on distinct phrases, so a phrase shared by a third of all reviews is scored once, and in blocks, so that there may be any number
+    of hypotheses.
     """
+    theirs = hypothesis_vectors(hypotheses, vectors, ngrams)
+    kinds = hypotheses.select("phrase_type").distinct()
+    wanted = distinct_phrases.select("phrase_type", "phrase").distinct().join(kinds, "phrase_type", "left_semi")
+    ours = wanted.join(phrase_vectors(wanted, vectors, ngrams), "phrase")
+    return best_products(written(ours).df, written(theirs).df)
+
+
+def hypothesis_vectors(hypotheses: DataFrame, vectors: DataFrame, ngrams: DataFrame | None = None) -> DataFrame:
+    """``(hypothesis, phrase_type, vec)``: one row per phrase of a hypothesis, without a vector where no word is known."""
     theirs = hypotheses.select("hypothesis", "phrase_type", F.explode("phrases").alias("phrase"))
-    their_vectors = phrase_vectors(theirs, vectors, ngrams).withColumn("length", norm(F.col("vec")))
-    target = F.struct("phrase_type", "hypothesis", "phrase", F.col("vec").alias("h"), "length")
-    # What the user asked for, as one row for every word.
-    targets = (
-        theirs.join(their_vectors.filter("length > 0"), "phrase")
-        .agg(F.sort_array(F.collect_list(target)).alias("targets"))
-        .withColumn("one", F.lit(1))
-    )
-    wanted = distinct_phrases.join(F.broadcast(hypotheses.select("phrase_type").distinct()), "phrase_type", "left_semi")
-    kinds = wanted.groupBy("phrase").agg(F.collect_set("phrase_type").alias("kinds"))
-    words = kinds.select("phrase", "kinds", F.posexplode(F.split("phrase", " ")).alias("pos", "word"))
-    needed = word_vectors(words, vectors, ngrams).withColumn("one", F.lit(1)).join(F.broadcast(targets), "one")
-    needed = needed.select("word", "vec", F.transform("targets", lambda t: dot(F.col("vec"), t["h"])).alias("dots"))
-    parts = words.join(needed, "word").groupBy("phrase").agg(
-        F.first("kinds").alias("kinds"), F.sort_array(F.collect_list(F.struct("pos", "vec", "dots"))).alias("parts")
-    )
-    measured = parts.withColumn("one", F.lit(1)).join(F.broadcast(targets), "one").select(
-        "phrase",
-        "kinds",
-        "targets",
-        length_of_sum(F.col("parts.vec")).alias("length"),
-        F.transform("targets", lambda t, j: F.aggregate("parts", F.lit(0.0), lambda s, p: s + F.get(p["dots"], j))).alias("dots"),
-    )
-    rows = measured.select(
-        "phrase", "kinds", F.col("length").alias("own"), F.explode(F.arrays_zip("targets", "dots")).alias("z")
-    )
-    matched = rows.filter(F.array_contains("kinds", F.col("z.targets.phrase_type")) & (F.col("own") > 0))
-    cosine = F.col("z.dots") / (F.col("own") * F.col("z.targets.length"))
-    return (
-        matched.select("z.targets.phrase_type", "phrase", "z.targets.hypothesis", cosine.alias("score"))
-        .groupBy("phrase_type", "phrase", "hypothesis")
-        .agg(F.max("score").alias("score"))
-    )
+    return theirs.join(phrase_vectors(theirs, vectors, ngrams), "phrase", "left").select("hypothesis", "phrase_type", "vec")
 
 
 def max_similarity(

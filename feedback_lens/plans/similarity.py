@@ -7,20 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedback_lens.operators.blocked import report_by_blocks
 from feedback_lens.operators.lexicon import PRONOUN_LEMMA, SIMILARITY_STOP
 from feedback_lens.operators.phrases import gather_tagged, long_phrases, with_phrases
 from feedback_lens.operators.segments import attach_company, filter_years, min_segment, with_quarter
 from feedback_lens.operators.similarity import (
-    MAX_BROADCAST_HYPOTHESES,
+    SCORE_DIGITS,
     analyze_hypothesis,
     apply_bias,
+    hypothesis_vectors,
     max_similarity,
-    overall_score,
+    phrase_vectors,
     tag_text,
-    top_reviews,
 )
 from feedback_lens.schema import REPORT_SEGMENT
-from feedback_lens.session import cut_lineage
+from feedback_lens.session import cut_lineage, written
 
 # Defaults of the original report.
 THRESHOLD, BIAS, TOP, MIN_REVIEWS = 0.6, -0.2, 5, 10
@@ -69,14 +70,12 @@ def scored_reviews(
 
     All hypotheses are scored in one job. Comments stay behind: only light columns go through the shuffles.
     """
-    if len(hypotheses) > MAX_BROADCAST_HYPOTHESES:
-        raise ValueError(f"at most {MAX_BROADCAST_HYPOTHESES} hypotheses per job; split the list")
     # A few rows that the plan needs in four places; as a small table they keep it short.
     analysed = cut_lineage(analyze_hypothesis(base.sparkSession, hypotheses, lexicon))
     best = max_similarity(phrases, analysed, vectors, ngrams)
     asked = F.explode(F.array(*[F.lit(h) for h in dict.fromkeys(hypotheses)]))
     rows = base.select("review_id", "rating", *REPORT_SEGMENT, asked.alias("hypothesis"))
-    rows = rows.join(F.broadcast(analysed.select("hypothesis")), "hypothesis", "left_semi")
+    rows = rows.join(analysed.select("hypothesis"), "hypothesis", "left_semi")
     rows = rows.join(best, ["review_id", "hypothesis"], "left")
     return apply_bias(rows.withColumn("similarity", F.coalesce("similarity", F.lit(0.0))), bias)
 
@@ -105,16 +104,17 @@ def similarity_table(
 ) -> DataFrame:
     """Best reviews per hypothesis, quarter and brand, with the share of reviews above the threshold.
 
-    Comments are fetched at the end, for the winning rows only.
+    Scores are taken in blocks, see ``operators.blocked``: the report holds a few rows per hypothesis and block of reviews, not one per review
+    and hypothesis. Comments are fetched at the end, for the winning rows only.
     """
     asked = [hypotheses] if isinstance(hypotheses, str) else list(hypotheses)
     base = report_base(reviews, years, min_reviews)
-    phrases = long_phrases(with_phrases(cleaned_words(base, lexicon)))
-    scored = scored_reviews(base, phrases, asked, lexicon, vectors, bias, ngrams)
-    keys = ["hypothesis", *REPORT_SEGMENT]
-    best = top_reviews(scored, keys, top).drop("rating")
-    shares = overall_score(scored, threshold, keys)
-    ranked = best.join(shares, keys)
+    phrases = written(long_phrases(with_phrases(cleaned_words(base, lexicon)))).df
+    analysed = written(analyze_hypothesis(base.sparkSession, asked, lexicon)).df
+    vecs = written(phrase_vectors(phrases, vectors, ngrams)).df
+    theirs = written(hypothesis_vectors(analysed, vectors, ngrams)).df
+    light = base.select("review_id", F.col("rating").cast("double").alias("rating"), *REPORT_SEGMENT)
+    ranked = report_by_blocks(light, phrases, vecs, theirs, REPORT_SEGMENT, threshold, bias, top, SCORE_DIGITS)
     texts = filter_years(reviews, years).select(
         "review_id", "name", "rating", "source", "comment", *(["company"] if "company" in reviews.columns else [])
     )

@@ -4,8 +4,10 @@ import numpy as np
 import pytest
 
 from feedback_lens.operators.coherence import embedding_coherence
-from feedback_lens.operators.similarity import analyze_hypothesis, phrase_scores
-from feedback_lens.plans.similarity import similarity_table
+from feedback_lens.operators import blocked
+from feedback_lens.operators.phrases import long_phrases, with_phrases
+from feedback_lens.operators.similarity import analyze_hypothesis, overall_score, phrase_scores, top_reviews
+from feedback_lens.plans.similarity import cleaned_words, report_base, scored_reviews, similarity_table
 
 LEXICON = [("pot", "N", "pot"), ("lid", "N", "lid"), ("leaks", "V", "leak"), ("the", "D", "the"), ("zzz", "N", "zzz")]
 VECTORS = [("pot", [1.0, 0.0]), ("lid", [0.0, 1.0]), ("leak", [1.0, 1.0])]
@@ -46,6 +48,30 @@ def test_report_edges(spark):
     assert all(r.overall_score == pytest.approx(0.1) and r.company is None for r in table)
 
 
+def test_report_by_blocks_equals_one_row_per_review_and_hypothesis(spark, monkeypatch):
+    """Small blocks: many hypotheses, reviews and phrases meet in many groups."""
+    for name, size in (("PHRASES", 3), ("HYPOTHESES", 4), ("REVIEWS", 5), ("COLUMNS", 2)):
+        monkeypatch.setattr(blocked, name, size)
+    rng = np.random.default_rng(2)
+    words = [f"n{i}" for i in range(12)]
+    known = spark.createDataFrame([(w, [float(x) for x in rng.normal(size=3)]) for w in words[:9]] + [("n9", [0.0] * 3)], "word string, vec array<float>")
+    lex = spark.createDataFrame([(w, "N", w) for w in words], "w string, pos string, lemma string")
+    day = dt.date(2016, 5, 1)
+    rows = [(i, "n", float(rng.integers(1, 6)), " , ".join(rng.choice(words, rng.integers(0, 4))), day, "ab"[i % 2], 0, "s") for i in range(40)]
+    schema = "review_id long, name string, rating double, comment string, date date, brand string, usefulness int, source string"
+    reviews = spark.createDataFrame(rows, schema)
+    asked = [" , ".join(rng.choice(words, rng.integers(1, 3))) for _ in range(25)] + ["n11", "n9"]
+    keys = ["hypothesis", "year_quarter", "brand"]
+    base = report_base(reviews, [2016])
+    phrases = long_phrases(with_phrases(cleaned_words(base, lex)))
+    scored = scored_reviews(base, phrases, asked, lex, known, -0.2)
+    shares = {tuple(r)[:3]: r.overall_score for r in overall_score(scored, 0.3, keys).collect()}
+    best = {(*[r[k] for k in keys], r["rank"]): (r.review_id, r.similarity) for r in top_reviews(scored, keys, 3).collect()}
+    table = similarity_table(reviews, asked, [2016], lex, known, 0.3, -0.2, 3).collect()
+    assert {(*[r[k] for k in keys], r["rank"]): (r.review_id, pytest.approx(r.similarity, abs=1e-9)) for r in table} == best
+    assert all(r.overall_score == pytest.approx(shares[tuple(r[k] for k in keys)]) for r in table) and len(best) > 100
+
+
 def test_vector_coherence(spark):
     words = [("x", 1, w) for w in ("pot", "lid", "leak")] + [("x", 2, "pot"), ("x", 3, "zzz")]
     found = embedding_coherence(spark.createDataFrame(words, "s string, topic int, keyword string"), vectors(spark), ["s"])

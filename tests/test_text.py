@@ -79,6 +79,15 @@ def test_spelling_by_brute_force(spark):
     assert {r.w: r.corrected for r in table.collect()} == expected
 
 
+def test_spelling_of_long_words(spark):
+    """Only the beginning of a word makes strings of deletions; the whole word counts for the distance."""
+    long = "abcdefg" + "h" * 2000
+    known = spark.createDataFrame([(long, 9), ("abcdefgh", 5), ("x", 7)], "w string, n long")
+    words = [long + "yy", "z" + long[:-1], long[:1000], "abcdefg" + "y" * 2000, "bacdefgh", "", "yx"]
+    found = {r.w: r.corrected for r in correction_table(spark.createDataFrame([(w,) for w in words], "w string"), known).collect()}
+    assert found == {long + "yy": long, "z" + long[:-1]: long, "bacdefgh": "abcdefgh", "": "x", "yx": "x"}
+
+
 def test_phrases_of_words_with_control_characters(spark):
     rows = spark.createDataFrame([(["\x01", "leak", "pot", "\x02"], "XVNX"), ([], ""), (["a"], "N")], "words array<string>, tags string")
     found = [r.p for r in rows.select(noun_phrases(F.col("words"), F.col("tags")).alias("p")).collect()]
