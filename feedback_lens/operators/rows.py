@@ -24,18 +24,20 @@ def topic_mass(keywords: DataFrame, seg: Sequence[str] = TOPIC_SEGMENT) -> DataF
     return keywords.groupBy(*seg, "topic").agg(F.sum("keyword_weight").alias("mass"))
 
 
+def heavy_topics(
+    keywords: DataFrame, seg: Sequence[str] = TOPIC_SEGMENT, k: int = 5, min_mass: float = 0.25
+) -> DataFrame:
+    """``(seg…, topic, place)`` of the heaviest ``k`` topics with enough mass, in order of falling mass."""
+    order = Window.partitionBy(*seg).orderBy(F.desc(F.round("mass", 9)), "topic")
+    kept = topic_mass(keywords, seg).filter(F.round("mass", 9) >= min_mass).withColumn("place", F.row_number().over(order))
+    return kept.filter(F.col("place") <= k).select(*seg, "topic", "place")
+
+
 def shortlist_topics(
     keywords: DataFrame, seg: Sequence[str] = TOPIC_SEGMENT, k: int = 5, min_mass: float = 0.25
 ) -> DataFrame:
     """Keywords of the heaviest ``k`` topics with enough mass, renumbered from 1 by falling mass."""
-    order = Window.partitionBy(*seg).orderBy(F.desc(F.round("mass", 9)), "topic")
-    kept = (
-        topic_mass(keywords, seg)
-        .filter(F.round("mass", 9) >= min_mass)
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= k)
-    )
-    renumbered = keywords.join(kept.select(*seg, "topic", "place"), [*seg, "topic"])
+    renumbered = keywords.join(heavy_topics(keywords, seg, k, min_mass), [*seg, "topic"])
     return renumbered.withColumn("topic", F.col("place")).drop("place")
 
 

@@ -140,7 +140,10 @@ def fit_hdp(
 def hdp_topics(docs: ChunkedDocs, state: DataFrame) -> DataFrame:
     """``(seg…, topic, term, weight)`` with weights that sum to 1 over the vocabulary of each topic."""
     seg = docs.seg
-    rows = state.filter(F.col("kind") == TERM).select(*seg, "term", F.posexplode("vec").alias("i", "v"))
-    rows = rows.select(*seg, (F.col("i") + 1).alias("topic"), "term", (F.col("v") + ETA).alias("v"))
-    mass = rows.groupBy(*seg, "topic").agg(F.sum("v").alias("mass"))
-    return rows.join(mass, [*seg, "topic"]).select(*seg, "topic", "term", (F.col("v") / F.col("mass")).alias("weight"))
+    # The mass of every topic is kept in the state, so weights need no sum over the exploded rows.
+    total = state.filter(F.col("kind") == TOTAL).select(*seg, F.col("vec").alias("total")).join(docs.sizes.select(*seg, "n_terms"), seg)
+    # Rows are few but wide: dealt over all cores before each becomes as many rows as there are topics.
+    wide = state.filter(F.col("kind") == TERM).repartition(state.sparkSession.sparkContext.defaultParallelism, *seg, "term")
+    rows = wide.join(docs.per_segment(total), seg).select(*seg, "term", "total", "n_terms", F.posexplode("vec").alias("i", "v"))
+    weight = (F.col("v") + ETA) / (F.get("total", F.col("i")) + ETA * F.col("n_terms"))
+    return rows.select(*seg, (F.col("i") + 1).alias("topic"), "term", weight.alias("weight"))
