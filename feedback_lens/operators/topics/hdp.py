@@ -144,6 +144,8 @@ def hdp_topics(docs: ChunkedDocs, state: DataFrame) -> DataFrame:
     total = state.filter(F.col("kind") == TOTAL).select(*seg, F.col("vec").alias("total")).join(docs.sizes.select(*seg, "n_terms"), seg)
     # Rows are few but wide: dealt over all cores before each becomes as many rows as there are topics.
     wide = state.filter(F.col("kind") == TERM).repartition(state.sparkSession.sparkContext.defaultParallelism, *seg, "term")
-    rows = wide.join(docs.per_segment(total), seg).select(*seg, "term", "total", "n_terms", F.posexplode("vec").alias("i", "v"))
-    weight = (F.col("v") + ETA) / (F.get("total", F.col("i")) + ETA * F.col("n_terms"))
-    return rows.select(*seg, (F.col("i") + 1).alias("topic"), "term", weight.alias("weight"))
+    weights = F.zip_with("vec", "total", lambda v, t: (v + ETA) / (t + ETA * F.col("n_terms")))
+    rows = wide.join(docs.per_segment(total), seg).select(*seg, "term", weights.alias("weights"))
+    # The arrays end here: a row of the result must not carry them along.
+    rows = rows.select(*seg, "term", F.posexplode("weights").alias("i", "weight"))
+    return rows.select(*seg, (F.col("i") + 1).alias("topic"), "term", "weight")
