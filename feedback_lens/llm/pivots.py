@@ -20,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedback_lens.llm.common import arrow_map, arrow_stream, store
+from feedback_lens.llm.common import arrow_column, arrow_map, arrow_stream, store
 from feedback_lens.llm.components import components
 
 PIVOTS = 128
@@ -36,17 +37,38 @@ BLOCK = 1024
 STEP = 64
 
 
+def unit_vectors(lists: pa.Array) -> pa.Array:
+    """Vectors of length 1; null where a vector is null, empty, zero, or holds a null or non-finite component.
+
+    Rows of one dimension are a matrix, and squares are added up column by column, so equal vectors stay equal bit by bit.
+    """
+    lists = lists.cast(pa.list_(pa.float64()))
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    starts = np.cumsum(sizes) - sizes
+    good, out = np.zeros(len(lists), bool), np.zeros(len(flat))
+    for size in np.unique(sizes[sizes > 0]):
+        rows = np.flatnonzero(sizes == size)
+        places = starts[rows][:, None] + np.arange(size)
+        values = flat[places]
+        # Scaled by the greatest component first, so that no square overflows or vanishes.
+        top = np.abs(values).max(axis=1)
+        fine = np.isfinite(top) & (top > 0)
+        scaled = values[fine] / top[fine][:, None]
+        squares = np.zeros(len(scaled))
+        for column in range(size):
+            squares += scaled[:, column] * scaled[:, column]
+        out[places[fine]] = scaled / np.sqrt(squares)[:, None]
+        good[rows] = fine
+    borders = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(borders), pa.array(out), mask=pa.array(~good))
+
+
 def directions(vectors: DataFrame) -> DataFrame:
     """Rows vec_id, label, dimension, unit (array of doubles, null for vectors that link with nothing)."""
-    values = F.col("embedding").cast("array<double>")
-    good = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(values, lambda x: x != 0)
-    # Scaled by the greatest component first, so that no square overflows or vanishes.
-    top = F.array_max(F.transform(values, F.abs))
-    scaled = F.transform(values, lambda x: x / top)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    unit = F.transform(scaled, lambda x: x / norm)
-    usable = F.coalesce(good & F.col("label").isNotNull(), F.lit(False))
-    return vectors.select("vec_id", "label", F.when(usable, unit).alias("unit"), F.size("embedding").alias("dimension"))
+    units = arrow_column(vectors.sparkSession, unit_vectors, "array<double>")
+    unit = F.when(F.col("label").isNotNull(), units(F.col("embedding").cast("array<double>")))
+    return vectors.select("vec_id", "label", unit.alias("unit"), F.size("embedding").alias("dimension"))
 
 
 def choose_pivots(heads: DataFrame, pivots: int = PIVOTS) -> dict[int, np.ndarray]:

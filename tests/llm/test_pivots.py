@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 
 from feedback_lens.llm import pivots as pv
 
@@ -66,3 +67,12 @@ def test_null_ids_and_empty_table(spark):
     got = sorted(map(tuple, pv.near_vectors(df).collect()), key=str)
     assert got == [(1, 1, 1, True), (2, 1, 1, False), (None, 0, None, True)]
     assert pv.near_vectors(df.limit(0)).count() == 0
+
+
+def test_unit_vectors_of_odd_rows():
+    lists = pa.array([[3.0, 4.0], None, [], [0.0, 0.0], [1.0, None], [float("nan"), 1.0], [float("inf"), 1.0], [1e300, 1e300], [2.0]], pa.list_(pa.float64()))
+    got = pv.unit_vectors(lists.slice(0, 9)).to_pylist()
+    assert got[0] == [0.6, 0.8] and got[1:7] == [None] * 6 and got[8] == [1.0]
+    assert got[7][0] == got[7][1] and abs(got[7][0] - math.sqrt(0.5)) < 1e-15
+    assert pv.unit_vectors(lists.slice(7, 2)).to_pylist() == got[7:]
+    assert pv.unit_vectors(lists.slice(0, 0)).to_pylist() == []
