@@ -187,21 +187,24 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 
 
 class Lookup:
-    """Values by 64-bit keys for whole arrays: open addressing, one vector step per probe."""
+    """Values by 64-bit keys for whole arrays: open addressing, one vector step per probe.
+
+    The open table holds row numbers of 4 bytes only; keys and values stay as dense as they came.
+    """
 
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.bits = max(4, int(5 * len(keys) // 2).bit_length())
-        size = 1 << self.bits
-        self.keys, self.used, self.values = np.zeros(size, np.uint64), np.zeros(size, bool), np.full(size, np.nan)
-        places, waiting = self._first(keys), np.arange(len(keys))
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.keys, self.values = np.append(keys, np.uint64(0)), np.append(values, np.nan)
+        self.none = len(keys)
+        self.rows = np.full(1 << self.bits, self.none, np.int32)
+        places, waiting = self._first(keys), np.arange(len(keys), dtype=np.int32)
         while len(waiting):
             spots = places[waiting]
-            free = np.flatnonzero(~self.used[spots])
-            taken, first = np.unique(spots[free], return_index=True)
-            chosen = waiting[free[first]]
-            self.used[taken], self.keys[taken], self.values[taken] = True, keys[chosen], values[chosen]
-            waiting = np.setdiff1d(waiting, chosen, assume_unique=True)
-            places[waiting] = (places[waiting] + 1) & (size - 1)
+            free = self.rows[spots] == self.none
+            # Of those that want one free spot, the row written last has it.
+            self.rows[spots[free]] = waiting[free]
+            waiting = waiting[self.rows[spots] != waiting]
+            places[waiting] = (places[waiting] + 1) & ((1 << self.bits) - 1)
 
     def _first(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -210,10 +213,10 @@ class Lookup:
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         """Values of ``keys``; not a number for a key that is not there."""
         places = self._first(keys)
-        out = self.values[places]
-        wrong = np.flatnonzero((self.keys[places] != keys) & self.used[places])
+        rows = self.rows[places]
+        wrong = np.flatnonzero((self.keys[rows] != keys) & (rows != self.none))
         while len(wrong):
-            places[wrong] = (places[wrong] + 1) & (len(self.keys) - 1)
-            out[wrong] = self.values[places[wrong]]
-            wrong = wrong[(self.keys[places[wrong]] != keys[wrong]) & self.used[places[wrong]]]
-        return out
+            places[wrong] = (places[wrong] + 1) & ((1 << self.bits) - 1)
+            rows[wrong] = self.rows[places[wrong]]
+            wrong = wrong[(self.keys[rows[wrong]] != keys[wrong]) & (rows[wrong] != self.none)]
+        return self.values[rows]

@@ -10,6 +10,7 @@ context with its byte, so the code length of every run of ``ORDER + 1`` bytes is
 Documents are dealt into blocks of about ``BLOCK_BYTES``. A block counts its different words and byte runs; the counts of all blocks are
 added up, turned into code lengths, and sent back to the blocks that asked for them, where the texts are scored. So what moves is
 the different keys of each block, never a row per byte, and no table is broadcast but the two shortest orders (at most 65,792 rows).
+A task holds the keys of one block, or the runs of about ``CONTEXT_KEYS`` keys or one context of two bytes, whichever is more.
 
 Words are compared by 64-bit hashes. Null is the empty text. Without training documents all bytes are alike and all counts 0. Rows with
 the same id are scored each by itself; a null id is learned from. Empty tables give empty results.
@@ -28,9 +29,10 @@ from feedback_lens.llm.common import Lookup, arrow_stream, ascii_words, bounded_
 
 ORDER = 5
 START, END = 0xFE, 0xFF
-BLOCK_BYTES = 48 << 20
-PART_BYTES = 4 << 20
-MERGE_KEYS = 4_000_000
+BLOCK_BYTES = 32 << 20
+PART_BYTES = 2 << 20
+MERGE_KEYS = 2_000_000
+CONTEXT_KEYS = 500_000
 WORD, RUN = 0, 1
 #: The end token among words: the hash of no letters.
 STOP = b""
@@ -72,33 +74,41 @@ def _parts(texts: list[str], most: int) -> Iterator[list[int]]:
 
 
 def _count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Different words and byte runs of each block with their training counts."""
-    found: dict[tuple[int, int], tuple[list, list]] = {}
+    """Different words and byte runs of each block with their training counts, from texts in the order of blocks."""
+    now, found = None, {RUN: ([], []), WORD: ([], [])}
 
-    def add(block: int, kind: int, values: np.ndarray, learn: bool) -> None:
-        keys, counts = found.setdefault((block, kind), ([], []))
+    def add(kind: int, values: np.ndarray, learn: bool) -> None:
+        keys, counts = found[kind]
         distinct, amounts = counted(values)
         keys.append(distinct)
         counts.append(amounts if learn else np.zeros_like(amounts))
-        if sum(map(len, keys)) > MERGE_KEYS and len(keys) > 1:
+        if sum(map(len, keys)) > MERGE_KEYS + 2 * len(keys[0]) and len(keys) > 1:
             one, total = merged(keys, counts)
             keys[:], counts[:] = [one], [total]
 
+    def finished() -> Iterator[pa.RecordBatch]:
+        for kind, lists in found.items():
+            keys, counts = merged(*lists)
+            for held in lists:
+                held.clear()
+            for start in range(0, len(keys), 1 << 18):
+                part = slice(start, start + (1 << 18))
+                n = len(keys[part])
+                columns = [pa.array(np.full(n, now, np.int32)), pa.array(np.full(n, kind, np.int32)), pa.array(keys[part].view(np.int64)), pa.array(counts[part])]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "kind", "key", "n"])
+
     for batch in batches:
         groups: dict[tuple[int, bool], list[str]] = {}
         for block, learn, text in zip(*(batch[n].to_pylist() for n in ("block", "learn", "text")), strict=True):
             groups.setdefault((block, learn), []).append(text)
         for (block, learn), texts in groups.items():
+            if block != now:
+                yield from finished()
+                now = block
             for rows in _parts(texts, PART_BYTES):
-                add(block, RUN, byte_runs([texts[r] for r in rows])[0], learn)
-                add(block, WORD, np.concatenate([_words(texts[r]) for r in rows]), learn)
-    for (block, kind), lists in found.items():
-        keys, counts = merged(*lists)
-        for start in range(0, len(keys), 1 << 20):
-            part = slice(start, start + (1 << 20))
-            n = len(keys[part])
-            columns = [pa.array(np.full(n, block, np.int32)), pa.array(np.full(n, kind, np.int32)), pa.array(keys[part].view(np.int64)), pa.array(counts[part])]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "kind", "key", "n"])
+                add(RUN, byte_runs([texts[r] for r in rows])[0], learn)
+                add(WORD, np.concatenate([_words(texts[r]) for r in rows]), learn)
+    yield from finished()
 
 
 def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,17 +171,32 @@ def _code_lengths(runs: DataFrame) -> DataFrame:
     shared = runs.sparkSession.sparkContext.broadcast(pairs)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = [[batch[n].to_numpy() for n in ("key", "n")] for batch in batches]
-        if not columns:
-            return
-        keys, counts = (np.concatenate([c[i] for c in columns]) for i in (0, 1))
-        values = log_probabilities(keys.view(np.uint64), counts, shared.value) if len(keys) else np.empty(0)
-        for start in range(0, len(keys), 1 << 20):
-            part = slice(start, start + (1 << 20))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(values[part])], ["key", "value"])
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        enough = CONTEXT_KEYS
+
+        def solved(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+            values = log_probabilities(keys.view(np.uint64), counts, shared.value)
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(values)], ["key", "value"])
+
+        # Whole contexts at a time: all rows but those of the last context seen, which may go on in the next batch.
+        for batch in batches:
+            held.append((batch["key"].to_numpy(), batch["n"].to_numpy()))
+            if sum(len(keys) for keys, _ in held) < enough:
+                continue
+            keys, counts = (np.concatenate([part[i] for part in held]) for i in (0, 1))
+            contexts = keys >> 8 & 0xFFFF
+            upto = int(np.argmax(contexts == contexts[-1]))
+            held = [(keys[upto:], counts[upto:])]
+            enough = max(CONTEXT_KEYS, 2 * (len(keys) - upto))
+            if upto:
+                yield solved(keys[:upto], counts[:upto])
+        keys, counts = (np.concatenate([np.empty(0, np.int64), *(part[i] for part in held)]) for i in (0, 1))
+        if len(keys):
+            yield solved(keys, counts)
 
     context = F.shiftrightunsigned("key", 8).bitwiseAND(0xFFFF)
-    return arrow_stream(runs.withColumn("context", context).repartition("context").select("key", "n"), work, "key long, value double")
+    ordered = runs.withColumn("context", context).repartition("context").sortWithinPartitions("context")
+    return arrow_stream(ordered.select("key", "n"), work, "key long, value double")
 
 
 def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -184,7 +209,9 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
     asked = saved_table(
         arrow_stream(
-            rows.select("block", (~F.col("held_out")).alias("learn"), "text").repartition("block"), _count_blocks, "block int, kind int, key long, n long"
+            rows.select("block", (~F.col("held_out")).alias("learn"), "text").repartition("block").sortWithinPartitions("block"),
+            _count_blocks,
+            "block int, kind int, key long, n long",
         )
     )
     totals = asked.groupBy("kind", "key").agg(F.sum("n").alias("n"))
@@ -211,6 +238,8 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
                     seen = tables[WORD](_words(lines[r]))
                     base = float(np.log10(seen + 1).sum() - len(seen) * np.log10(tokens + different + 1))
                     out.append((len(seen), int((seen > 0).sum()), tokens, base, float(whole)))
+        tables.clear()
+        pa.default_memory_pool().release_unused()
         columns = list(zip(*out, strict=True)) or [()] * 5
         types = [pa.int64()] * 3 + [pa.float64()] * 2
         names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]

@@ -98,3 +98,19 @@ def test_lookup():
     keys = np.unique(rng.integers(0, 2**63, 5000).astype(np.uint64))
     table = Lookup(keys, np.arange(len(keys), dtype=float))
     assert (table(keys) == np.arange(len(keys))).all() and np.isnan(table(np.array([7, 8], np.uint64))).all()
+
+
+def test_code_lengths_by_contexts_do_not_depend_on_the_cut(spark, monkeypatch):
+    texts = ["abracadabra " * 40, "banana bandana", "", "x" * 300]
+    codes = np.concatenate([ppm.byte_runs([t])[0] for t in texts])
+    keys, counts = np.unique(codes.view(np.int64), return_counts=True)
+    runs = spark.createDataFrame([(int(k), int(n)) for k, n in zip(keys, counts, strict=True)], "key long, n long")
+    whole = {r.key: r.value for r in ppm._code_lengths(runs).collect()}
+    monkeypatch.setattr(ppm, "CONTEXT_KEYS", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        cut = {r.key: r.value for r in ppm._code_lengths(runs).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert whole.keys() == cut.keys() == set(keys.tolist())
+    assert all(cut[k] == pytest.approx(v, abs=1e-12) for k, v in whole.items())
