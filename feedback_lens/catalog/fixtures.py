@@ -239,6 +239,27 @@ def amazon_pages(spark: SparkSession, sf: str) -> DataFrame:
     return _paged(reviews(spark, sf).withColumn("block", block), head, tail)
 
 
+DEAD_PRODUCT, UNLISTED_PRODUCT = 4, 7
+NOT_FOUND = "<title>Page Not Found</title>"
+
+
+def amazon_search_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Search pages that list every tenth review's product; one product is listed under a key that no page has."""
+    product = F.col("review_id") % PRODUCTS
+    key = F.when(product == UNLISTED_PRODUCT, "Q7").otherwise(F.concat(F.lit("P"), product.cast("string")))
+    rows = reviews(spark, sf).filter("review_id % 10 = 0").select("review_id", _html('<li class="s" data-asin="{k}">x</li>', k=key).alias("item"))
+    items = F.transform(F.sort_array(F.collect_list(F.struct("review_id", "item"))), lambda s: s["item"])
+    grouped = rows.groupBy(F.floor(F.col("review_id") / 500).alias("page_id")).agg(items.alias("items"))
+    return grouped.select("page_id", F.concat(F.lit("<ul>"), F.array_join("items", "\n"), F.lit("</ul>")).alias("html"))
+
+
+def amazon_product_pages(spark: SparkSession, sf: str) -> DataFrame:
+    product = F.col("product")
+    rows = reviews(spark, sf).select((F.col("review_id") % PRODUCTS).alias("product")).distinct()
+    html = F.when(product == DEAD_PRODUCT, NOT_FOUND).otherwise(_html("<h1>Product {p}</h1>", p=product))
+    return rows.select(F.concat(F.lit("P"), product.cast("string")).alias("key"), html.alias("html"))
+
+
 def bestbuy_pages(spark: SparkSession, sf: str) -> DataFrame:
     i = F.col("review_id")
     unit = F.element_at(F.array(F.lit("day"), F.lit("week"), F.lit("month"), F.lit("year")), (i % 4 + 1).cast("int"))

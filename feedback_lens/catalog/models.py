@@ -13,8 +13,8 @@ from feedback_lens.operators.bow import attach_idf, bow, count_vectors, idf_tabl
 from feedback_lens.operators.coherence import cv_coherence, embedding_coherence, keyword_pairs
 from feedback_lens.operators.segments import polarity
 from feedback_lens.operators.topics import kmeans as km
-from feedback_lens.operators.topics import lda
-from feedback_lens.operators.topics.engine import chunk_docs
+from feedback_lens.operators.topics import lda, lsa
+from feedback_lens.operators.topics.engine import chunk_docs, initial_state
 from feedback_lens.plans import topics as tp
 from feedback_lens.plans.prepare import clean_legacy, cv_tokens, prepare, raw_words
 from feedback_lens.schema import TOPIC_SEGMENT
@@ -247,9 +247,52 @@ def lsa_report(spark: SparkSession, sf: str) -> DataFrame:
     return tp.lsa_table(_legacy(spark, sf))
 
 
+# One multiplication on given vectors: their Rayleigh quotient and how far they are from a singular vector.
+view("km_points", "SELECT review_type, brand, review_id, w AS term, CAST(count(*) AS DOUBLE) AS x FROM seg_tokens GROUP BY ALL", "seg_tokens")
+view(
+    "lsa_image",
+    """SELECT review_type, brand, term, 1.0 + length(term) % 3 AS v, sum(x * s) AS b FROM km_points JOIN (
+      SELECT review_type, brand, review_id, sum(x * (1.0 + length(term) % 3)) AS s FROM km_points GROUP BY ALL)
+    USING (review_type, brand, review_id) GROUP BY ALL""",
+    "km_points",
+)
+
+
+@query(
+    "M10",
+    sql(
+        "lsa_image",
+        """SELECT review_type, brand, round(sqrt(theta), 6) AS sigma, round(sqrt(sum((b - theta * v) * (b - theta * v)) / sum(v * v)) / theta, 6) AS residual
+        FROM lsa_image JOIN (SELECT review_type, brand, sum(b * v) / sum(v * v) AS theta FROM lsa_image GROUP BY ALL) USING (review_type, brand)
+        GROUP BY review_type, brand, theta""",
+    ),
+)
+def lsa_residuals(spark: SparkSession, sf: str) -> DataFrame:
+    """Singular value and residual that the stopping rule sees for one given vector per brand and polarity."""
+    seg = ["review_type", "brand"]
+    docs = chunk_docs(bow(fx.segment_docs(spark, sf), seg), seg)
+    state = initial_state(docs, F.array(F.lit(1.0) + F.length("term") % 3))
+    found = lsa.ritz(docs, state, lsa.power_step(docs, state), 1)
+    first = [F.sqrt(F.get("theta", F.lit(0))), F.get("residual", F.lit(0))]
+    return found.select(*seg, F.round(first[0], 6).alias("sigma"), F.round(first[1], 6).alias("residual"))
+
+
+@query(
+    "M15",
+    sql(
+        "seg_docs seg_tokens",
+        f"""SELECT {SEG}, count(*) AS n_reviews FROM seg_docs ANTI JOIN (
+        SELECT {SEG} FROM seg_tokens GROUP BY {SEG}, w HAVING count(DISTINCT review_id) >= 8) USING ({SEG}) GROUP BY ALL""",
+    ),
+)
+def skipped_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Segments that give no model, as no term is in eight reviews, with their size."""
+    docs = fx.segment_docs(spark, sf)
+    return tp.skipped(docs, count_vectors(docs, min_df=8))
+
+
 # k-means++ on word counts: draws by arithmetic, three centres, then the nearest centre of every review.
 DRAW = "-ln(((review_id * 7919 + {step} * 104729) % 100003 + 0.5) / 100003)"
-view("km_points", "SELECT review_type, brand, review_id, w AS term, CAST(count(*) AS DOUBLE) AS x FROM seg_tokens GROUP BY ALL", "seg_tokens")
 view("km_lengths", "SELECT review_type, brand, review_id, sum(x * x) AS length FROM km_points GROUP BY ALL", "km_points")
 view(
     "km_first",

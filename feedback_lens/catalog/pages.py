@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedback_lens.catalog import fixtures as fx
-from feedback_lens.catalog.registry import query, sql
+from feedback_lens.catalog.registry import query, sql, view
 from feedback_lens.functions import normalize as nz
 from feedback_lens.operators import pages as pg
 from feedback_lens.operators.segments import union_reviews
-from feedback_lens.plans.corpus import AMAZON, BEST_BUY, WALMART, shop_reviews
+from feedback_lens.plans.corpus import AMAZON, BEST_BUY, WALMART, ShopJob, shop_job, shop_reviews
 
 LINK = r'href="/([^"]+)"'
 TAIL = "regexp_extract(regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/$', ''), '\\.[a-z]+$', ''), '([^/]+)$', 1)"
@@ -157,6 +157,50 @@ def corpus_of_three_shops(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+view(
+    "listed",
+    "SELECT CASE WHEN review_id % 9 = 7 THEN 'Q7' ELSE 'P' || CAST(review_id % 9 AS VARCHAR) END AS key FROM reviews WHERE review_id % 10 = 0",
+    "reviews",
+)
+view(
+    "job_pages",
+    """SELECT 'P' || CAST(review_id % 9 AS VARCHAR) AS key, review_id // 180 AS page, count(*) AS n, count(*) FILTER (review_id % 50 = 0) AS bad,
+    'P' || CAST(review_id % 9 AS VARCHAR) IN (SELECT key FROM listed WHERE key <> 'P4') AS live FROM reviews GROUP BY ALL""",
+    "reviews listed",
+)
+
+
+def _amazon_job(spark: SparkSession, sf: str) -> ShopJob:
+    stored = (fx.amazon_search_pages(spark, sf), fx.amazon_product_pages(spark, sf), fx.amazon_pages(spark, sf))
+    return shop_job(*stored, AMAZON, fx.NOT_FOUND)
+
+
+@query(
+    "X1 X2 X3 X4 X9",
+    sql("listed job_pages", """SELECT 'keys_found' AS step, count(*) AS n FROM listed
+    UNION ALL SELECT 'keys_distinct', count(DISTINCT key) FROM listed
+    UNION ALL SELECT 'keys_dead', count(DISTINCT key) FROM listed WHERE key = 'P4'
+    UNION ALL SELECT 'keys_without_pages', count(DISTINCT key) FROM listed WHERE key NOT IN (SELECT key FROM job_pages)
+    UNION ALL SELECT 'keys_with_missing_pages', count(*) FROM (SELECT key FROM job_pages WHERE live GROUP BY key HAVING count(*) < max(page) + 1)
+    UNION ALL SELECT 'pages_read', count(*) FROM job_pages WHERE live
+    UNION ALL SELECT 'pages_left_out', count(*) FROM job_pages WHERE NOT live
+    UNION ALL SELECT 'reviews_seen', CAST(coalesce(sum(n), 0) AS BIGINT) FROM job_pages WHERE live
+    UNION ALL SELECT 'reviews_rejected', CAST(coalesce(sum(bad), 0) AS BIGINT) FROM job_pages WHERE live
+    UNION ALL SELECT 'reviews_kept', CAST(coalesce(sum(n - bad), 0) AS BIGINT) FROM job_pages WHERE live"""),
+)
+def shop_job_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of keys, pages and reviews between the search pages and the corpus."""
+    return _amazon_job(spark, sf).counts
+
+
+@query(
+    "X1 X2 X3 X7 S9",
+    sql("reviews listed", AMAZON_SQL + " AND 'P' || CAST(review_id % 9 AS VARCHAR) IN (SELECT key FROM listed WHERE key <> 'P4')"),
+)
+def shop_job_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    return _shown(_amazon_job(spark, sf).reviews)
+
+
 @query("X6", sql("reviews", """SELECT review_id, CASE WHEN review_id % 9 = 8 THEN NULL ELSE brand END AS brand FROM reviews"""))
 def brand_from_product_page(spark: SparkSession, sf: str) -> DataFrame:
     keyed = fx.reviews(spark, sf).select(

@@ -56,13 +56,13 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def conform(df: DataFrame) -> DataFrame:
-    """Review columns with their declared types; absent ones become null, unknown ones are left out."""
+def conform(df: DataFrame, *more: str) -> DataFrame:
+    """Review columns with their declared types; absent ones become null, unknown ones are left out unless named in ``more``."""
     columns = [
         (F.col(f.name) if f.name in df.columns else F.lit(None)).try_cast(f.dataType).alias(f.name)
         for f in REVIEW.fields
     ]
-    return df.select(*columns)
+    return df.select(*columns, *more)
 
 
 def union_reviews(*dfs: DataFrame) -> DataFrame:

@@ -19,8 +19,9 @@ from feedback_lens.functions.normalize import (
     parse_usefulness,
     with_source,
 )
-from feedback_lens.operators.pages import attach_brand, read_blocks, read_lists, valid_rows
+from feedback_lens.operators.pages import attach_brand, extract_keys, last_page, read_blocks, read_lists, valid_rows
 from feedback_lens.operators.segments import conform
+from feedback_lens.session import written
 
 
 @dataclass(frozen=True)
@@ -99,17 +100,10 @@ def _typed(df: DataFrame, profile: ShopProfile, as_of: Column | None) -> DataFra
     return with_source(typed, profile.name)
 
 
-def shop_reviews(
-    pages: DataFrame,
-    profile: ShopProfile,
-    as_of: Column | None = None,
-    product_pages: DataFrame | None = None,
-    rejects: Observation | None = None,
+def _shop_rows(
+    pages: DataFrame, profile: ShopProfile, as_of: Column | None = None, product_pages: DataFrame | None = None
 ) -> DataFrame:
-    """Reviews of one shop's stored pages ``(page_id, key, html)``, typed and without malformed rows.
-
-    Every step works on one page or one review, so the only shuffle is the optional brand lookup.
-    """
+    """Every review found on the pages, typed, malformed ones included."""
     keep = ["page_id", "key"]
     if profile.block is not None:
         rows = read_blocks(pages, profile.block, profile.fields, keep, profile.values)
@@ -121,5 +115,83 @@ def shop_reviews(
         rows = attach_brand(rows, product_pages, profile.brand)
     elif "brand" not in profile.values:
         rows = rows.withColumn("brand", brand_from_name(F.col("name")))
-    rows = rows.withColumn("review_id", F.xxhash64(F.lit(profile.name), "page_id", "pos"))
-    return conform(valid_rows(rows, REQUIRED, rejects))
+    return rows.withColumn("review_id", F.xxhash64(F.lit(profile.name), "page_id", "pos"))
+
+
+def shop_reviews(
+    pages: DataFrame,
+    profile: ShopProfile,
+    as_of: Column | None = None,
+    product_pages: DataFrame | None = None,
+    rejects: Observation | None = None,
+) -> DataFrame:
+    """Reviews of one shop's stored pages ``(page_id, key, html)``, typed and without malformed rows.
+
+    Every step works on one page or one review, so the only shuffle is the optional brand lookup.
+    """
+    return conform(valid_rows(_shop_rows(pages, profile, as_of, product_pages), REQUIRED, rejects))
+
+
+@dataclass(frozen=True)
+class ShopJob:
+    """What a shop's job leaves: reviews ``REVIEW`` and what became of everything on the way ``(step, n)``."""
+
+    reviews: DataFrame
+    counts: DataFrame
+
+
+def _long(df: DataFrame) -> DataFrame:
+    """One row of counts as rows ``(step, n)``; sums over nothing are 0."""
+    named = [F.struct(F.lit(c).alias("step"), F.coalesce(F.col(c), F.lit(0)).cast("long").alias("n")) for c in df.columns]
+    return df.select(F.inline(F.array(*named)))
+
+
+def shop_job(
+    search_pages: DataFrame,
+    product_pages: DataFrame,
+    review_pages: DataFrame,
+    profile: ShopProfile,
+    dead_marker: str,
+    as_of: Column | None = None,
+) -> ShopJob:
+    """From stored search pages to reviews: keys, dead products left out, review pages of live products read.
+
+    The state of every key and the rows found are written once, and the counts come from these tables, so a task that runs twice counts
+    once. Pages travel to no other task if the live keys are small enough for the optimiser to send them round.
+    """
+    found = extract_keys(search_pages, profile.key_pattern).groupBy("key").agg(F.count(F.lit(1)).alias("times"))
+    dead = product_pages.filter(F.contains("html", F.lit(dead_marker))).select("key", F.lit(True).alias("dead")).distinct()
+    stored = review_pages.filter("key IS NOT NULL").groupBy("key").agg(F.count(F.lit(1)).alias("pages"))
+    states = found.join(stored, "key", "full").join(dead, "key", "left")
+    if profile.page_number:
+        states = states.join(last_page(review_pages, profile.page_number), "key", "left")
+    else:
+        states = states.withColumn("last_page", F.lit(None).cast("int"))
+    states = states.select(
+        "key",
+        F.coalesce("times", F.lit(0)).alias("times"),
+        F.coalesce("pages", F.lit(0)).alias("pages"),
+        F.coalesce("dead", F.lit(False)).alias("dead"),
+        "last_page",
+    )
+    states = written(states).df
+    listed, live = F.col("times") > 0, (F.col("times") > 0) & ~F.col("dead")
+    rows = _shop_rows(review_pages.join(states.filter(live).select("key"), "key", "left_semi"), profile, as_of, product_pages)
+    good = F.lit(True)
+    for name in REQUIRED:
+        good = good & F.col(name).isNotNull()
+    rows = rows.withColumn("good", good)
+    rows = written(conform(rows, "good")).df
+    keys = states.agg(
+        F.sum("times").alias("keys_found"),
+        F.count_if(listed).alias("keys_distinct"),
+        F.count_if(listed & F.col("dead")).alias("keys_dead"),
+        F.count_if(live & (F.col("pages") == 0)).alias("keys_without_pages"),
+        F.count_if(live & (F.col("pages") > 0) & (F.col("pages") < F.col("last_page"))).alias("keys_with_missing_pages"),
+        F.sum(F.when(live, F.col("pages"))).alias("pages_read"),
+        F.sum(F.when(~live, F.col("pages"))).alias("pages_left_out"),
+    )
+    reviews = rows.agg(
+        F.count(F.lit(1)).alias("reviews_seen"), F.count_if(~F.col("good")).alias("reviews_rejected"), F.count_if("good").alias("reviews_kept")
+    )
+    return ShopJob(rows.filter("good").drop("good"), _long(keys).unionByName(_long(reviews)))

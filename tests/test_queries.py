@@ -9,7 +9,8 @@ from feedback_lens.catalog import coverage
 SF = "/root/testdata/sf0.001"
 TABLES = ("documents", "pages", "embeddings")
 CHECKED = ("segments_of_ten", "block_reviews", "zipped_reviews", "merged_collocations", "prepared_reviews",
-           "coherence_by_windows", "topics_side_by_side", "similarity_report")
+           "coherence_by_windows", "topics_side_by_side", "similarity_report",
+           "shop_job_counts", "shop_job_reviews", "lsa_residuals", "skipped_models")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
 
