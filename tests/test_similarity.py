@@ -6,7 +6,7 @@ import pytest
 from feedback_lens.operators.coherence import embedding_coherence
 from feedback_lens.operators import blocked
 from feedback_lens.operators.phrases import long_phrases, with_phrases
-from feedback_lens.operators.similarity import analyze_hypothesis, overall_score, phrase_scores, top_reviews
+from feedback_lens.operators.similarity import analyze_hypothesis, overall_score, phrase_scores, phrase_vectors, top_reviews
 from feedback_lens.plans.similarity import cleaned_words, report_base, scored_reviews, similarity_table
 
 LEXICON = [("pot", "N", "pot"), ("lid", "N", "lid"), ("leaks", "V", "leak"), ("the", "D", "the"), ("zzz", "N", "zzz")]
@@ -78,3 +78,37 @@ def test_vector_coherence(spark):
     scores = {r.topic: r.coherence for r in found.collect()}
     assert scores[1] == pytest.approx((0 + 2 * np.sqrt(0.5)) / 3)
     assert scores[2] == 0 and scores[3] == 0
+
+
+def test_vectors_meet_phrases_once_per_block(spark):
+    """A block gets each word's vector once: words of phrases never carry vectors through a shuffle. Repeats, copies and unknown words count as before."""
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(8)]
+    rows = [(w, [float(x) for x in rng.normal(size=3)]) for w in words[:6]] + [("w0", [1.0, 2.0, 3.0]), ("w9", None)]
+    known = spark.createDataFrame(rows, "word string, vec array<double>")
+    phrases = [" ".join(rng.choice(words, rng.integers(1, 9))) for _ in range(60)] + ["w6", "w9", "", "w0 w0", None]
+    given = spark.createDataFrame([(p,) for p in phrases], "phrase string")
+    found = phrase_vectors(given, known)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    table = {r.phrase: r.vec for r in found.collect()}
+    wanted = {}
+    for phrase in filter(None, phrases):
+        vecs = [v for word in phrase.split(" ") for w, v in rows if w == word and v is not None]
+        if vecs:
+            wanted[phrase] = pytest.approx(np.mean(vecs, axis=0))
+    assert table == wanted and len(wanted) > 30
+
+
+def test_blocks_without_hypotheses_or_words(spark):
+    day = dt.date(2016, 2, 1)
+    rows = [(i, "n", 3.0, "the lid", day, "a", 0, "s") for i in range(12)]
+    schema = "review_id long, name string, rating double, comment string, date date, brand string, usefulness int, source string"
+    reviews = spark.createDataFrame(rows, schema)
+    base = report_base(reviews, [2016])
+    phrases = long_phrases(with_phrases(cleaned_words(base, lexicon(spark))))
+    none = vectors(spark).limit(0)
+    assert similarity_table(reviews, ["the ,"], [2016], lexicon(spark), vectors(spark)).count() == 0
+    assert {r.similarity for r in similarity_table(reviews, ["pot"], [2016], lexicon(spark), none).collect()} == {0.0}
+    assert scored_reviews(base, phrases, ["the ,"], lexicon(spark), vectors(spark)).count() == 0
+    assert {r.similarity for r in scored_reviews(base, phrases, ["pot"], lexicon(spark), none).collect()} == {0.0}
+    assert phrase_vectors(phrases.limit(0), vectors(spark)).count() == 0
