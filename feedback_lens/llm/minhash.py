@@ -6,8 +6,9 @@ candidates. At the threshold 0.85 a pair misses all bands with probability (1 -
 
 Candidates are never expanded into all pairs of a bucket at once. First each document meets one pivot: the member of its buckets with the
 fewest shingles of its own. What is linked then shares a component; only buckets that still hold several components are compared fully,
-block against block, and give the pairs whose components differ and whose shared shingles can suffice. So no link between components
-is lost, and a group of near copies costs about one pair each.
+block against block: pairs whose components differ and whose shared shingles can suffice are verified in the task where they meet, and only
+links that join components leave it. So no link between components is lost, and no row is made per pair, also in groups that miss the
+threshold.
 
 Pairs are compared batch by batch of their signatures. With a uniform prior on the similarity, m matches among n leave the posterior
 probability P(Bin(n + 1, t) <= m) that it reaches the threshold t; a pair is dropped once that is below ``MISS``. Survivors are verified
@@ -37,6 +38,7 @@ BATCH = 16
 MISS = 1e-9
 SHINGLE = 5
 BLOCK = 1024
+BLOCK_SHINGLES = 1 << 22
 PIVOT_ROWS = 256
 CHUNK = 1 << 12
 _WORDS = mix(np.arange(2 * HASHES, dtype=np.uint64) + np.uint64(0x5EED))
@@ -180,58 +182,115 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return arrow_stream(ordered, compare, f"a {kind}, b {kind}")
 
 
-def _cross_pairs(shared: DataFrame, labels: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket whose components differ and that may reach the threshold; blocks of a bucket meet pairwise in tasks of their own.
-
-    Shingles that no other set has cannot be shared, which bounds the similarity of a pair exactly; what the bound lets through takes the
-    signature test. ``signatures`` has n and own as well.
+MARKS = ("key", "i", "j", "block", "id", "label", "signature", "n", "own", "pivot", "band")
+
+
+class _Meeting:
+    """Members of one bucket that meet in one task: block i with block j, or a block with itself."""
+
+    def __init__(self, key: tuple, rows: list[tuple], percent: int) -> None:
+        columns = dict(zip(MARKS[3:], zip(*rows, strict=False), strict=False))
+        self.within, self.percent = key[1] == key[2], percent
+        self.block, self.ids, self.labels, self.pivots, self.band = (np.array(columns[c]) for c in ("block", "id", "label", "pivot", "band"))
+        self.marks = np.frombuffer(b"".join(columns["signature"]), np.uint32).reshape(-1, HASHES)
+        self.sizes = np.array(columns["n"], np.int64)
+        self.common = self.sizes - np.array(columns["own"], np.int64)
+
+    def partners(self, at: int, labels: np.ndarray) -> np.ndarray:
+        """Later members that member ``at`` may reach; ``labels`` tell whose components are the same by now."""
+        # Pairs within a block belong to the task of that block alone; pairs with a pivot were tested before.
+        later = slice(at + 1, None)
+        fresh = (labels[later] != labels[at]) & (self.ids[later] != self.pivots[at]) & (self.pivots[later] != self.ids[at])
+        other = np.flatnonzero(fresh) + at + 1
+        if not self.within:
+            other = other[self.block[other] != self.block[at]]
+        most = np.minimum(self.common[other], self.common[at])
+        other = other[100 * most >= self.percent * (self.sizes[other] + self.sizes[at] - most)]
+        hit = other[may_reach(np.broadcast_to(self.marks[at], (len(other), HASHES)), self.marks[other], self.percent)]
+        # A pair that meets in several bands belongs to the first of them.
+        agree = (self.marks[hit].reshape(-1, BANDS, ROWS) == self.marks[at].reshape(BANDS, ROWS)).all(axis=2)
+        return hit[agree.argmax(axis=1) == self.band[at]]
+
+    def asked(self) -> np.ndarray:
+        """Members with a partner that they may reach."""
+        wanted = np.zeros(len(self.ids), bool)
+        if len(set(self.labels.tolist())) > 1:
+            for at in range(len(self.ids) - 1):
+                hit = self.partners(at, self.labels)
+                wanted[hit] = True
+                wanted[at] |= len(hit) > 0
+        return np.flatnonzero(wanted)
+
+    def links(self, sets: list[bytes]) -> list[tuple]:
+        """Verified pairs that join components; a pair whose members were joined here before adds nothing."""
+        labels, found = np.unique(self.labels, return_inverse=True)[1], []
+        values = [np.frombuffer(data, np.uint64) for data in sets]
+        for at in range(len(self.ids) - 1):
+            for other in self.partners(at, labels):
+                if labels[at] != labels[other] and reaches(values[at], values[other], self.percent):
+                    labels[labels == labels[other]] = labels[at]
+                    found.append((self.ids[at], self.ids[other]))
+        return found
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows of one (key, i, j) after another, without these three columns."""
+    key, group = None, []
+    for batch in batches:
+        for row in zip(*(batch[c].to_pylist() for c in names), strict=True):
+            if key != row[:3]:
+                if group:
+                    yield key, group
+                key, group = row[:3], []
+            group.append(row[3:])
+    if group:
+        yield key, group
+
+
+def _cross_links(shared: DataFrame, labels: DataFrame, known: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Links (a, b) between components, enough to join all that a pair of one bucket joins; none where no pair can reach the threshold.
+
+    Blocks of a bucket meet pairwise in tasks of their own. Shingles that no other set has cannot be shared, which bounds the similarity of a
+    pair exactly; what the bound lets through takes the signature test. Pairs never leave their task: a first pass names the members with a
+    partner, the second gets the full sets of these, verifies in place and gives at most one link per member. ``known`` has signature, n, own
+    and the pivot that an id was tested against.
     """
-    rows = shared.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).select("key", "band", "id", "label")
-    mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("rows")).where("low <> high")
-    blocks = F.ceil(F.col("rows") / BLOCK)
-    rows = rows.join(mixed, "key").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+    rows = shared.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).join(known.select("id", "n"), "id")
+    ends = F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles")
+    mixed = rows.groupBy("key").agg(*ends).where("low <> high")
+    blocks = F.ceil(F.greatest(F.col("rows") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))
+    rows = rows.drop("n").join(mixed, "key").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
     meets = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     rows = rows.withColumn("other", meets).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    rows = rows.select("key", "i", "j", "band", "block", "id", "label").join(signatures, "id")
-    ordered = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "block", "id")
+    rows = rows.select("key", "i", "j", "band", "block", "id", "label").join(known, "id").select(*MARKS)
     kind = shared.schema["id"].dataType.simpleString()
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group, kinds = None, [], pa.int64()
-
-        def pairs(out: list) -> None:
-            if len({row[2] for row in group}) < 2:
-                return
-            ids, blocks, labels_ = (np.array([row[k] for row in group]) for k in (1, 0, 2))
-            marks = np.frombuffer(b"".join(row[3] for row in group), np.uint32).reshape(-1, HASHES)
-            sizes, common = (np.array([row[k] for row in group], np.int64) for k in (4, 5))
-            for at in range(len(group) - 1):
-                # Pairs within a block belong to the task of that block alone.
-                other = np.flatnonzero(labels_[at + 1 :] != labels_[at]) + at + 1
-                if key[1] != key[2]:
-                    other = other[blocks[other] != blocks[at]]
-                most = np.minimum(common[other], common[at])
-                other = other[100 * most >= percent * (sizes[other] + sizes[at] - most)]
-                hit = other[may_reach(np.broadcast_to(marks[at], (len(other), HASHES)), marks[other], percent)]
-                # A pair that meets in several bands belongs to the first of them.
-                agree = (marks[hit].reshape(-1, BANDS, ROWS) == marks[at].reshape(BANDS, ROWS)).all(axis=2)
-                hit = hit[agree.argmax(axis=1) == group[at][6]]
-                out.extend((min(ids[at], x), max(ids[at], x)) for x in ids[hit])
-
-        for batch in batches:
-            kinds, out = batch["id"].type, []
-            names = ("key", "i", "j", "block", "id", "label", "signature", "n", "own", "band")
-            for k, i, j, block, id_, label, marks, n, own, band in zip(*(batch[c].to_pylist() for c in names), strict=True):
-                if key != (k, i, j):
-                    pairs(out)
-                    key, group = (k, i, j), []
-                group.append((block, id_, label, marks, n, n - own, band))
-            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], kinds) for n in (0, 1)], ["pivot", "id"])
-        out = []
-        pairs(out)
-        yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], kinds) for n in (0, 1)], ["pivot", "id"])
-
-    return arrow_stream(ordered, compare, f"pivot {kind}, id {kind}").distinct()
+    def ordered(df: DataFrame) -> DataFrame:
+        return df.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "block", "id")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, group in _grouped(batches, MARKS):
+            meeting = _Meeting(key, group, percent)
+            wanted = [group[at] for at in meeting.asked()]
+            if wanted:
+                ids = pa.array([row[1] for row in wanted])
+                columns = [*(pa.repeat(pa.scalar(k, pa.int64()), len(wanted)) for k in key), pa.array([row[0] for row in wanted], pa.int64()), ids]
+                columns += [pa.array([row[2] for row in wanted], ids.type), pa.array([row[-1] for row in wanted], pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "i", "j", "block", "id", "label", "band"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, group in _grouped(batches, (*MARKS, "set")):
+            found = _Meeting(key, [row[:-1] for row in group], percent).links([row[-1] for row in group])
+            if found:
+                ids = [pa.array([pair[n] for pair in found]) for n in (0, 1)]
+                yield pa.RecordBatch.from_arrays(ids, ["a", "b"])
+
+    asked = arrow_stream(ordered(rows), ask, f"key long, i long, j long, block long, id {kind}, label {kind}, band int")
+    asked = store(asked)
+    release(shared.sparkSession)
+    if asked.isEmpty():
+        return None
+    return arrow_stream(ordered(asked.join(known, "id").join(sets, "id").select(*MARKS, "set")), verify, f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 85, size: int = SHINGLE) -> DataFrame:
@@ -265,13 +324,11 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, size: int = SHINGLE)
     labels = store(components(links))
     del tested
     release(spark)
-    # Pairs of one component need no test; star pairs that failed theirs fail again, so they are left out here.
-    both = F.struct(F.least("pivot", "id").alias("x"), F.greatest("pivot", "id").alias("y"))
-    more = _cross_pairs(shared, labels, known, percent).withColumn("both", both)
-    more = store(more.join(stars.select(both.alias("both")), "both", "left_anti").select("pivot", "id"))
-    release(spark)
-    if not more.isEmpty():
-        labels = store(components(store(links.union(_verified(more, sets, percent)))))
+    # Pairs of one component need no test; star pairs that failed theirs fail again, so they are left out.
+    pivot = F.coalesce("pivot", "id").alias("pivot")
+    more = _cross_links(shared, labels, known.join(stars, "id", "left").select("id", "signature", "n", "own", pivot), sets, percent)
+    if more is not None:
+        labels = store(components(store(links.union(more))))
         release(spark)
     found = classes.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component_id"))
     out = sketched.select("doc_id", "n_shingles", "digest").join(found, "digest", "left")

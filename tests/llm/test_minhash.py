@@ -82,3 +82,27 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame(links, "a long, b long")
     got = dict(map(tuple, components(df).collect()))
     assert got == {i: 0 for i in range(61)} | {i: 100 for i in [100, *range(200, 250)]} | {299: 299, 300: 299}
+
+
+def test_no_row_for_each_pair_of_a_group(spark, monkeypatch):
+    """Copies with edits of their own that miss the threshold: candidates are verified where they meet, and only joining links leave the task."""
+    rng = random.Random(9)
+    base = [f"v{i}" for i in range(150)]
+    texts = []
+    for _ in range(70):
+        words = list(base)
+        for _ in range(3):
+            words[rng.randrange(150)] = f"x{rng.random()}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    made, cross = [], mh._cross_links
+
+    def counted(*args):
+        links = cross(*args)
+        made.append(0 if links is None else (links := mh.store(links)).count())
+        return links
+
+    monkeypatch.setattr(mh, "_cross_links", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, mh.near_duplicates(df, percent=82).collect())) == brute(rows, 82)
+    assert len(made) == 1 and made[0] <= len(rows)
