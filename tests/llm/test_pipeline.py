@@ -67,3 +67,14 @@ def test_empty_table(spark, tables, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{tables}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
     assert cp.run(spark, folder).count() == 0
+
+
+def test_language_stage_asks_the_model(spark, tables, monkeypatch):
+    """The stage predicts languages with the model of op2; what the model does not determine is rejected."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    learned, learn = [], cp.language.learn
+    monkeypatch.setattr(cp.language, "learn", lambda *args: learned.append(learn(*args)) or learned[-1])
+    kept = cp.drop_unknown_language(spark, docs, tables)
+    assert learned and learned[0].names == sorted(r.lang for r in docs.select("lang").where("lang is not null").distinct().collect())
+    names, _ = learned[0].predict([r.text or "" for r in docs.collect()])
+    assert kept.count() == sum(name != "und" for name in names) < docs.count()
