@@ -4,8 +4,8 @@ import re
 from pyspark.sql import functions as F
 
 from feedback_lens.functions import tokens as tk
-from feedback_lens.operators.collocations import merge_bigrams
-from feedback_lens.operators.lexicon import gather_tokens
+from feedback_lens.operators.collocations import adjacent_pairs, merge_bigrams
+from feedback_lens.operators.lexicon import explode_tokens, gather_tokens
 from feedback_lens.operators.phrases import PATTERNS, match_phrases, noun_phrases
 from feedback_lens.operators.spelling import correction_table
 
@@ -99,3 +99,14 @@ def test_reviews_without_tokens_stay(spark):
     long = spark.createDataFrame([(1, 1, "b"), (1, 0, "a")], "review_id long, pos int, w string")
     found = {r.review_id: r.tokens for r in gather_tokens(long, base=base).collect()}
     assert found == {1: ["a", "b"], 2: []}
+
+
+def test_texts_are_cut_into_tokens_once(spark):
+    """No filter on the number of tokens beside the explode, which would cut every text once more; nulls and empty texts give no row."""
+    df = spark.createDataFrame([(1, "one two one"), (2, ""), (3, None)], "review_id long, comment string").repartition(2)
+    docs = df.select("review_id", tk.tokenize_topic(F.col("comment")).alias("tokens"))
+    long, pairs = explode_tokens(docs), adjacent_pairs(docs, ["review_id"])
+    for made in (long, pairs):
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert sorted(map(tuple, long.collect())) == [(1, 0, "one"), (1, 1, "two"), (1, 2, "one")]
+    assert sorted(map(tuple, pairs.collect())) == [(1, 0, "one", "two"), (1, 1, "two", "one")]
