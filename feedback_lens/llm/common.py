@@ -104,7 +104,7 @@ class Remembered:
 class WordHashes(dict):
     """Word (bytes) to a 64-bit hash, remembered up to a number of entries."""
 
-    limit = 400_000
+    limit = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

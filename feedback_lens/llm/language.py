@@ -25,9 +25,9 @@ from feedback_lens.llm.common import arrow_column, arrow_stream, hash_share, mix
 
 DIMENSION = 1024
 MAX_LABELLED = 20_000
-BLOCK_CHARS = 600_000
+BLOCK_CHARS = 150_000
 BLOCK_TEXTS = 512
-BLOCK_GRAMS = 8192
+BLOCK_GRAMS = 2048
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 UNDETERMINED = "und"
 
