@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from feedback_lens.session import cut_lineage, ensure_checkpoint_dir
+from feedback_lens.session import cut_lineage, ensure_checkpoint_dir, shuffles_removed
 
 BATCH_BYTES = 8 << 20
 
@@ -150,7 +150,8 @@ def saved_table(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_removed(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
