@@ -26,11 +26,32 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+_FORGET: dict[str, Callable[[], None]] = {}
+_SERVED = [""]
+
+
+def remembers(module: str, forget: Callable[[], None]) -> None:
+    """``forget`` drops what a Python worker remembers for ``module``; it is called when the worker turns to another module."""
+    _FORGET[module] = forget
+
+
+def serving(module: str) -> None:
+    """Tell the worker whose function it runs now. Workers outlive stages, so what one stage remembers would lie beside the data of the next."""
+    if _SERVED[0] != module:
+        _SERVED[0] = module
+        for owner, forget in _FORGET.items():
+            if owner != module:
+                forget()
+        pa.default_memory_pool().release_unused()
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``fn`` over every Arrow batch of ``df``."""
     bounded_batches(df.sparkSession)
+    module = fn.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        serving(module)
         return (fn(batch) for batch in batches)
 
     return df.mapInArrow(run, schema)
@@ -39,15 +60,23 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
 def arrow_stream(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``fn`` over the stream of batches of one partition."""
     bounded_batches(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    module = fn.__module__
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        serving(module)
+        return fn(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def arrow_column(spark: SparkSession, fn: Callable[..., pa.Array], returns: str) -> Callable[..., Column]:
     """A column function that sees one Arrow array per argument; other columns never leave the JVM."""
     bounded_batches(spark)
+    module = fn.__module__
 
     @arrow_udf(returns)
     def call(values: pa.Array) -> pa.Array:
+        serving(module)
         return fn(values)
 
     return call
@@ -116,6 +145,7 @@ class WordHashes(dict):
 
 
 _HASHES = WordHashes()
+remembers("", _HASHES.clear)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

@@ -21,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedback_lens.llm.common import Remembered, arrow_map, store
+from feedback_lens.llm.common import Remembered, arrow_map, remembers, store
 
 ROWS_PER_SALT = 2048
 _ENCODERS: dict[str, ChunkEncoder] = {}
+remembers(__name__, _ENCODERS.clear)
 
 
 class ChunkEncoder:

@@ -2,10 +2,12 @@ import random
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from feedback_lens.llm import common, packing
 from feedback_lens.llm.packing import ChunkEncoder, pack, plan_counts, token_pieces
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -85,3 +87,28 @@ def test_pack_is_gapless(spark):
 
 def test_empty_table(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_worker_that_serves_another_module_forgets_the_encoder(spark):
+    ids = ChunkEncoder.of(PATH)("Ünï 12'd")
+    common.serving(packing.__name__)
+    ChunkEncoder.of(PATH)
+    common.serving(packing.__name__)
+    assert packing._ENCODERS  # a stage's next task finds what was remembered
+    common.word_hashes([b"a", b"b"])
+    common.serving("another")
+    assert not packing._ENCODERS and not common._HASHES
+    assert ChunkEncoder.of(PATH)("Ünï 12'd") == ids
+
+    def fill(batch):
+        ChunkEncoder.of(PATH)
+        return batch
+
+    fill.__module__ = packing.__name__
+
+    def left(batch):
+        return batch.set_column(0, "id", pa.array([len(packing._ENCODERS)] * len(batch), pa.int64()))
+
+    left.__module__ = "another"
+    one = spark.range(64, numPartitions=4)
+    assert {r.id for r in common.arrow_map(common.arrow_map(one, fill, "id long").cache(), left, "id long").collect()} == {0}
