@@ -1,13 +1,17 @@
+import os
 import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from feedback_lens.functions import tokens as tk
+from feedback_lens.operators import collocations
 from feedback_lens.operators.collocations import adjacent_pairs, merge_bigrams
 from feedback_lens.operators.lexicon import explode_tokens, gather_tokens
 from feedback_lens.operators.phrases import PATTERNS, match_phrases, noun_phrases
 from feedback_lens.operators.spelling import correction_table
+from feedback_lens.session import written
 
 
 def greedy(words, pairs):
@@ -110,3 +114,40 @@ def test_texts_are_cut_into_tokens_once(spark):
         assert made._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
     assert sorted(map(tuple, long.collect())) == [(1, 0, "one"), (1, 1, "two"), (1, 2, "one")]
     assert sorted(map(tuple, pairs.collect())) == [(1, 0, "one", "two"), (1, 1, "two", "one")]
+
+
+def test_few_neighbours_are_asked_whether_they_are_collocations(spark, monkeypatch):
+    docs = [(i, [f"w{i * 7 % 50 + j}" for j in range(30)]) for i in range(40)]
+    df = spark.createDataFrame(docs, "review_id long, tokens array<string>")
+    bigrams = spark.createDataFrame([("w1", "w2"), ("w60", "w61"), (None, "w3")], "a string, b string")
+    pairs = adjacent_pairs(df, ["review_id"])
+    kept = collocations._may_be(pairs, bigrams, ["a", "b"])
+    exact = pairs.join(bigrams, ["a", "b"], "left_semi")
+    assert kept.columns == pairs.columns
+    assert exact.exceptAll(kept.select(*exact.columns)).count() == 0 and kept.count() == exact.count() < pairs.count() / 10
+    typed = spark.createDataFrame([(3, "w21", "w22")], "review_id int, a string, b string")  # the reviews' ids are long
+    keys = ["review_id", "a", "b"]
+    assert collocations._may_be(pairs, typed, keys).count() == pairs.join(typed, keys, "left_semi").count() == 1
+    monkeypatch.setattr(collocations, "BITS", 64)  # chance bits cost rows only
+    crowded = spark.createDataFrame([(f"w{j}", f"w{j + 1}") for j in range(0, 80, 2)], "a string, b string")
+    found = merge_bigrams(df, crowded)
+    qualify = {(f"w{j}", f"w{j + 1}") for j in range(0, 80, 2)}
+    assert {r["review_id"]: r["tokens"] for r in found.collect()} == {i: greedy(words, qualify) for i, words in docs}
+
+
+def test_words_and_pairs_are_counted_once(spark, monkeypatch):
+    """Sizes and joins read one written table each, and what is left of them goes."""
+    made = []
+    monkeypatch.setattr(collocations, "written", lambda df: made.append(written(df)) or made[-1])
+    docs = spark.createDataFrame([(1, list("abcabcabcabcx")), (1, ["a", None, "b", "b"]), (2, ["q"] * 9), (3, [])], "s long, tokens array<string>")
+    found = collocations.score_bigrams(docs, ["s"], 1, 0.1)
+    plain = {}
+    for s in (1, 2):
+        rows = [r["tokens"] for r in docs.filter(F.col("s") == s).collect()]
+        words = Counter(w for row in rows for w in row)
+        pairs = Counter(p for row in rows for p in zip(row, row[1:]))
+        size = len(words) + len(pairs)
+        scores = {(s, *p): (n - 1) / (words[p[0]] * words[p[1]]) * size for p, n in pairs.items() if n > 1 and None not in p}
+        plain |= {key: score for key, score in scores.items() if score > 0.1}
+    assert {(r["s"], r["a"], r["b"]): round(r["score"], 9) for r in found.collect()} == {k: round(v, 9) for k, v in plain.items()}
+    assert len(made) == 3 and [os.path.exists(x.path.removeprefix("file:")) for x in made] == [False, False, True]
