@@ -11,6 +11,7 @@ from feedback_lens.functions import normalize as nz
 from feedback_lens.operators import pages as pg
 from feedback_lens.operators.segments import union_reviews
 from feedback_lens.plans.corpus import AMAZON, BEST_BUY, WALMART, ShopJob, shop_job, shop_reviews
+from feedback_lens.session import written
 
 LINK = r'href="/([^"]+)"'
 TAIL = "regexp_extract(regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/$', ''), '\\.[a-z]+$', ''), '([^/]+)$', 1)"
@@ -216,7 +217,7 @@ def brand_from_product_page(spark: SparkSession, sf: str) -> DataFrame:
 )
 def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = pg.read_blocks(fx.amazon_pages(spark, sf), AMAZON.block, AMAZON.fields)
-    rated = rows.withColumn("rating", nz.parse_rating(F.col("rating_text")))
+    rated = written(rows.select(nz.parse_rating(F.col("rating_text")).alias("rating"))).df  # counted twice below
     bad = F.col("rating").isNull()
     kept = pg.valid_rows(rated, ["rating"]).agg(F.count(F.lit(1)).alias("kept")).withColumn("one", F.lit(1))
     seen = rated.agg(F.count(F.lit(1)).alias("seen"), F.count_if(bad).alias("rejected")).withColumn("one", F.lit(1))

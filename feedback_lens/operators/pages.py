@@ -71,8 +71,10 @@ def attach_brand(reviews: DataFrame, product_pages: DataFrame, brand: Path) -> D
 PageRows = Callable[[Page], list[list[str | None]]]
 
 
-def _read_pages(pages: DataFrame, keep: Sequence[str], names: Sequence[str], rows_of: PageRows, numbered: bool) -> DataFrame:
-    """Rows that each page gives, beside what is kept of it; a page without markup gives none."""
+def _read_pages(
+    pages: DataFrame, keep: Sequence[str], names: Sequence[str], rows_of: PageRows, numbered: bool, wanted: Sequence[Path]
+) -> DataFrame:
+    """Rows that each page gives, beside what is kept of it; a page without markup gives none. ``rows_of`` asks for the ``wanted`` paths only."""
     bounded_batches(pages.sparkSession)
     fields = [pages.schema[name] for name in keep]
     fields += [T.StructField("pos", T.IntegerType())] if numbered else []
@@ -84,7 +86,7 @@ def _read_pages(pages: DataFrame, keep: Sequence[str], names: Sequence[str], row
                 part = batch.slice(low, PAGES_AT_ONCE)
                 places, numbers, rows = [], [], []
                 for place, source in enumerate(part.column("html").to_pylist()):
-                    found = [] if source is None else rows_of(Page(source))
+                    found = [] if source is None else rows_of(Page(source, wanted))
                     places += [place] * len(found)
                     numbers += range(len(found))
                     rows += found
@@ -98,7 +100,7 @@ def _read_pages(pages: DataFrame, keep: Sequence[str], names: Sequence[str], row
 
 def read_values(pages: DataFrame, values: Mapping[str, Path], keep: Sequence[str] = ("page_id",)) -> DataFrame:
     """One row per page: the first element of each path, trimmed; null where the page has none or it is empty."""
-    read = _read_pages(pages, keep, list(values), lambda page: [[page.first(wanted) for wanted in values.values()]], False)
+    read = _read_pages(pages, keep, list(values), lambda page: [[page.first(wanted) for wanted in values.values()]], False, list(values.values()))
     return read.withColumns({name: F.nullif(F.trim(name), F.lit("")) for name in values})
 
 
@@ -124,7 +126,7 @@ def read_blocks(
             out.append(of_page + [page.first(wanted, inside) for wanted in fields.values()])
         return out
 
-    return _read_pages(pages, keep, [*values, *fields], rows_of, True)
+    return _read_pages(pages, keep, [*values, *fields], rows_of, True, [*values.values(), block, *fields.values()])
 
 
 def read_lists(
@@ -143,7 +145,7 @@ def read_lists(
         count = len(lists[driver])
         return [of_page + [found[i] if i < len(found) else None for found in lists.values()] for i in range(count)]
 
-    return _read_pages(pages, keep, [*values, *fields], rows_of, True).dropna(subset=list(fields))
+    return _read_pages(pages, keep, [*values, *fields], rows_of, True, [*values.values(), *fields.values()]).dropna(subset=list(fields))
 
 
 def valid_rows(df: DataFrame, required: Sequence[str], rejects: Observation | None = None) -> DataFrame:

@@ -1,3 +1,6 @@
+import random
+
+from feedback_lens.catalog.pages import rejected_rows
 from feedback_lens.functions.markup import Element, Page, path
 from feedback_lens.operators.pages import read_blocks, read_lists, read_values
 
@@ -69,3 +72,39 @@ def test_pages_of_a_table(spark):
     values = read_values(pages, {"title": path(Element("h1"))}).collect()
     assert sorted(map(tuple, values)) == [(1, "T"), (3, None), (4, None)]
     assert read_lists(pages.limit(0), {"b": BODY}, "b").collect() == []
+
+
+def test_pages_read_for_some_paths_give_the_same():
+    rng, wanted = random.Random(2), [path(Element("span", "id", "x")), path(Element("div", "class", word="v"), Element("b")), path(Element("a", "href"), take="href")]
+    attributes = ["", "", ' id="x"', ' class="v w"', " /", ' y="a>b"', ' z="', ' href="/q"', " ID=x"]
+
+    def node(depth):
+        if rng.random() < 0.3 or depth > 4:
+            return rng.choice(["t", "1 &amp; 2", "<", ">", "<!-- <b> -->", ""])
+        tag = rng.choice("li ul a span p div td tr table br script b option select LI".split())
+        inside = "".join(node(depth + 1) for _ in range(rng.randrange(4)))
+        return f"<{tag}{rng.choice(attributes)}>{inside}{rng.choice([f'</{tag}>'] * 6 + ['', '</div>'])}"
+
+    def read(page):
+        hits = [[(e.start, e.end, page.value(e, w)) for e in page.matches(w)] for w in wanted]
+        return hits, [[page.first(w, page.inside(e)) for w in wanted] for e in page.matches(wanted[1])]
+
+    for _ in range(2000):
+        source = "".join(node(0) for _ in range(5))
+        assert read(Page(source, wanted)) == read(Page(source)), source
+
+
+def test_long_lists_take_no_step_per_entry():
+    entries = "".join(f'<li class="page"><a href="#">{i}</a></li>' for i in range(5000))
+    page = Page(f'<div><ul>{entries}</ul><span class="v">77</span></div>', [path(Element("span", "class", "v")), path(Element("a", "id"))])
+    assert [e.tag for e in page.elements] == ["div", "ul", "span"]
+    assert page.first(path(Element("span", "class", "v"))) == "77"
+    assert page.text(page.elements[1]) == "".join(map(str, range(5000)))
+
+
+def test_rejected_rows_read_the_pages_once(spark, tmp_path):
+    rows = [(i, f"text {i}") for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = rejected_rows(spark, str(tmp_path))
+    assert "MapInArrow" not in found._jdf.queryExecution().toString()
+    assert found.collect() == [(200, 4, 196)]
