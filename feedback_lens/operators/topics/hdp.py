@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedback_lens.operators.topics.engine import (
     MODEL,
@@ -18,13 +20,10 @@ from feedback_lens.operators.topics.engine import (
     blocks,
     chunk_docs,
     digamma,
-    drawn_state,
     learn_online,
     uniforms,
-    with_totals,
 )
 from feedback_lens.schema import TOPIC_SEGMENT
-from feedback_lens.session import cut_lineage
 
 # Truncations, priors and learning settings of the original models.
 TOPICS, DOC_TOPICS = 150, 15
@@ -121,31 +120,54 @@ def fit_hdp(
     """Fit every segment; the state holds topic words and one row of stick use per segment."""
     docs = chunk_docs(counts, seg, batch_size=batch_size)
     seg = docs.seg
-    terms = docs.vocabulary.withColumn("width", F.lit(topics))
-    drawn = drawn_state(terms, seg, seed, lambda hashes, width: -np.log(uniforms(hashes, width)))
-    scale = F.col("n_docs") * 100.0 / (F.lit(float(topics)) * F.col("n_terms"))
-    sized = drawn.join(docs.per_segment(docs.sizes.select(*seg, scale.alias("scale"))), seg)
-    start = cut_lineage(sized.select(*seg, "kind", "term", F.expr(f"transform(vec, x -> x * scale - {ETA!r}D)").alias("vec")))
-    no_use = docs.sizes.select(
-        *seg, F.lit(MODEL).alias("kind"), F.lit("").alias("term"), F.array_repeat(F.lit(0.0), topics).alias("vec")
-    )
-    state = with_totals(start, seg).unionByName(no_use)
+
+    def draw(hashes: np.ndarray, width: int, n_docs: float, n_terms: float) -> np.ndarray:
+        return -np.log(uniforms(hashes, width)) * (n_docs * 100.0 / (topics * n_terms)) - ETA
+
     design = docs.sizes.select(
         *seg, F.array_repeat(F.lit(DECAY), topics).alias("decay"), F.array_repeat(F.lit(0.0), topics).alias("eta")
     )
     step = HdpStep(doc_topics, ALPHA, GAMMA, ETA)
-    return docs, learn_online(docs, state, step, passes, OFFSET, design)
+    return docs, learn_online(docs, seed, draw, [step], passes, OFFSET, design, with_model=True).drop("part")
+
+
+def _contenders(seg: Sequence[str], n: int, names: list[str]):
+    """Rows of Arrow batches as ``(seg…, term, i, v)`` without the numbers that ``n`` others of segment and topic exceed in the batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = [batch.column(name).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False) for name in seg]
+            other = np.any([code[1:] != code[:-1] for code in codes], axis=0) if batch.num_rows > 1 else np.zeros(0, bool)
+            cuts = [0, *(np.flatnonzero(other) + 1), batch.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                values = part.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(b - a, -1)
+                last = np.partition(values, -n, axis=0)[-n] if b - a > n else values.min(axis=0)
+                # Division may make numbers equal that are not; those go by term later on.
+                row, topic = np.nonzero(values >= last - 1e-12 * np.abs(last + ETA))
+                kept = [part.column(name).take(pa.array(row)) for name in (*seg, "term")]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(topic, pa.int32()), pa.array(values[row, topic])], names=names)
+
+    return run
+
 
+def hdp_topics(docs: ChunkedDocs, state: DataFrame, n: int | None = None) -> DataFrame:
+    """``(seg…, topic, term, weight)`` with weights that sum to 1 over the vocabulary of each topic.
 
-def hdp_topics(docs: ChunkedDocs, state: DataFrame) -> DataFrame:
-    """``(seg…, topic, term, weight)`` with weights that sum to 1 over the vocabulary of each topic."""
+    With ``n``, weights that are surely not among the ``n`` largest of their topic are left out before rows are made of the state.
+    """
     seg = docs.seg
     # The mass of every topic is kept in the state, so weights need no sum over the exploded rows.
     total = state.filter(F.col("kind") == TOTAL).select(*seg, F.col("vec").alias("total")).join(docs.sizes.select(*seg, "n_terms"), seg)
-    # Rows are few but wide: dealt over all cores before each becomes as many rows as there are topics.
-    wide = state.filter(F.col("kind") == TERM).repartition(state.sparkSession.sparkContext.defaultParallelism, *seg, "term")
-    weights = F.zip_with("vec", "total", lambda v, t: (v + ETA) / (t + ETA * F.col("n_terms")))
-    rows = wide.join(docs.per_segment(total), seg).select(*seg, "term", weights.alias("weights"))
-    # The arrays end here: a row of the result must not carry them along.
-    rows = rows.select(*seg, "term", F.posexplode("weights").alias("i", "weight"))
-    return rows.select(*seg, (F.col("i") + 1).alias("topic"), "term", "weight")
+    words = state.filter(F.col("kind") == TERM).select(*seg, "term", "vec")
+    if n is None:
+        rows = words.select(*seg, "term", F.posexplode("vec").alias("i", "v"))
+    else:
+        fields = [T.StructField("i", T.IntegerType()), T.StructField("v", T.DoubleType())]
+        schema = T.StructType([*[words.schema[name] for name in (*seg, "term")], *fields])
+        rows = words.mapInArrow(_contenders(seg, n, schema.names), schema)
+    weight = (F.col("v") + ETA) / (F.get("total", F.col("i")) + ETA * F.col("n_terms"))
+    rows = rows.join(docs.per_segment(total), seg)
+    return rows.select(*seg, (F.col("i") + 1).alias("topic"), "term", weight.alias("weight"))
